@@ -109,9 +109,11 @@ def union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def discover_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The drifting family written as directories, found again by listing."""
     location = scratch_dir(spark, "eras")
-    for era, frame in order_eras(spark, sf_dir):
-        write_parquet(frame, f"{location}/{era}")
-    return resolved_union_paths(spark, [location], DEFAULTS, tag_column="era", view_name="order_family")
+    for number, (era, frame) in enumerate(order_eras(spark, sf_dir)):
+        write_parquet(frame, f"{location}/{number}_{era}")
+    return resolved_union_paths(
+        spark, [location], DEFAULTS, tag_column="era", tag_pattern=r"/\d_([^/]+)/[^/]+$", view_name="order_family"
+    )
 
 
 @query("""

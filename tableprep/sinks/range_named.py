@@ -10,11 +10,11 @@ from tableprep.storage import list_children, part_order, rename
 
 
 def range_name(table: str, number: int, files: int, extension: str) -> str:
-    """``<table>-<number>in0to<files - 1><extension>``, or ``<table>-single<extension>``; lower case."""
+    """``<table>-<number>in0to<files - 1><extension>``, numbers of equal width, or ``<table>-single<extension>``."""
     if files == 1:
         return f"{table}-single{extension}".lower()
     width = len(str(files - 1))
-    return f"{table}-{number:0{width}d}in0to{files - 1:0{width}d}{extension}".lower()
+    return f"{table}-{number:0{width}d}in{0:0{width}d}to{files - 1}{extension}".lower()
 
 
 def rename_parts(spark: SparkSession, path: str) -> list[str]:
