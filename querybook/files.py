@@ -78,7 +78,8 @@ def read_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_header_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text with line breaks and quotes inside quoted fields."""
     location = scratch_dir(spark, "headercsv") + "/conversations"
-    writers.write_csv(table(spark, sf_dir, "conversations"), location, header=True, quote='"', escape='"', quoteAll=True)
+    turns = table(spark, sf_dir, "conversations")
+    writers.write_csv(turns, location, header=True, quote='"', escape='"', quoteAll=True)
     return readers.read_header_csv(spark, location)
 
 

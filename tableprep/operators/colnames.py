@@ -36,7 +36,8 @@ def is_forbidden(name: Column) -> Column:
 
 def reserved_word_names(names: DataFrame, column: str) -> DataFrame:
     """``names`` with ``is_reserved`` and ``is_forbidden`` for the names in ``column``; set lookups, no join."""
-    return names.select("*", is_reserved(F.col(column)).alias("is_reserved"), is_forbidden(F.col(column)).alias("is_forbidden"))
+    name = F.col(column)
+    return names.select("*", is_reserved(name).alias("is_reserved"), is_forbidden(name).alias("is_forbidden"))
 
 
 def reserved_word_columns(frame: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tableprep.functions.columns import quoted, typed_null
 from tableprep.plans.projection import by_lower_name, union_all
@@ -35,12 +35,13 @@ def overlay_tables(layers: Sequence[DataFrame], keys: Sequence[str]) -> DataFram
 
     def ranked(layer: DataFrame, rank: int) -> DataFrame:
         present = by_lower_name(layer.schema)
+
+        def value(field: T.StructField) -> Column:
+            found = present.get(field.name.lower())
+            return typed_null(field.dataType) if found is None else quoted(found.name)
+
         return layer.select(
-            *[quoted(present[k.lower()].name).alias(k) for k in keys],
-            *[
-                (quoted(present[f.name.lower()].name) if f.name.lower() in present else typed_null(f.dataType)).alias(f.name)
-                for f in values
-            ],
+            *[quoted(present[k.lower()].name).alias(k) for k in keys], *[value(f).alias(f.name) for f in values],
             F.lit(rank).alias("__rank"),
         )
 

@@ -29,20 +29,18 @@ def dense_row_id(
 
     Rows are range-partitioned by ``keys``, sorted within partitions and written once (to ``location``, or to the
     shared scratch folder). A row's id is its position in its file plus the rows of the files before it, so lost
-    executors cannot change it. A hash of the row splits runs of equal keys between tasks, and the partition a row came
-    from splits runs of equal rows; such ties are numbered in any order.
+    executors cannot change it. Runs of equal keys are split between tasks by the partition each row came from, and
+    numbered in any order.
     """
     spark = frame.sparkSession
     order = [quoted(k) for k in keys]
     location = location or scratch_dir(spark, "rowid") + "/rows"
-    tied = frame.select(
-        "*", F.xxhash64(*[quoted(c) for c in frame.columns]).alias("__hash"), F.spark_partition_id().alias("__origin")
-    )
-    bounds = [*order, F.col("__hash"), F.col("__origin")]
+    tied = frame.withColumn("__origin", F.spark_partition_id())
+    bounds = [*order, F.col("__origin")]
     ranged = (
         tied.repartitionByRange(*bounds) if num_partitions is None else tied.repartitionByRange(num_partitions, *bounds)
     )
-    ranged.sortWithinPartitions(*bounds).drop("__hash", "__origin").write.parquet(location)
+    ranged.sortWithinPartitions(*bounds).drop("__origin").write.parquet(location)
 
     written = spark.read.schema(frame.schema).parquet(location)
     file_name = F.col("_metadata.file_name")

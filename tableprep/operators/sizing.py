@@ -52,7 +52,9 @@ def recommend_partitions(
     return facts.select("*", files_for(scaled, target_bytes).alias("recommended"))
 
 
-def compaction_plan(spark: SparkSession, directory: str, target_bytes: int = TARGET_FILE_BYTES, glob: str = "*.parquet") -> DataFrame:
+def compaction_plan(
+    spark: SparkSession, directory: str, target_bytes: int = TARGET_FILE_BYTES, glob: str = "*.parquet"
+) -> DataFrame:
     """(directory, files, bytes, recommended) for every directory below ``directory`` that holds files."""
     files = file_catalog_recursive(spark, directory, glob)
     parent = F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("directory")

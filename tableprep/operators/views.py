@@ -46,7 +46,8 @@ def schema_report(frame: DataFrame, filled_counts: bool = False) -> DataFrame:
     ``filled_counts`` adds the rows of the table and the non-null values of each column, from a single aggregate.
     """
     facts = [
-        (i, f.name, f.dataType.simpleString(), isinstance(f.dataType, ATOMIC)) for i, f in enumerate(frame.schema.fields)
+        (i, f.name, f.dataType.simpleString(), isinstance(f.dataType, ATOMIC))
+        for i, f in enumerate(frame.schema.fields)
     ]
     if not filled_counts:
         return frame.sparkSession.createDataFrame(

@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -55,18 +56,27 @@ def rename(spark: SparkSession, source: str, target: str) -> bool:
     return fs.rename(hadoop, spark._jvm.org.apache.hadoop.fs.Path(target))
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder named by ``spark.checkpoint.dir``, dropped when the application ends.
+@cache
+def _local_base(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"run-{application}-")
+
+
+def scratch_base(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``.
 
     Only a local master may fall back to a temporary folder of the machine: executors elsewhere could not see it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise TablePrepError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/tableprep-{label}-{uuid.uuid4().hex}"
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise TablePrepError("set spark.checkpoint.dir to a folder every executor can reach")
+    return _local_base(spark.sparkContext.applicationId)
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh directory in the shared folder, dropped when the application ends."""
+    path = f"{scratch_base(spark)}/tableprep-{label}-{uuid.uuid4().hex}"
     fs, hadoop = hadoop_path(spark, path)
     fs.mkdirs(hadoop)
     fs.deleteOnExit(hadoop)

@@ -122,7 +122,8 @@ def test_paths_with_equal_leaves_do_not_mix(spark):
 
 
 def test_paths_with_odd_leaf_names(spark):
-    base = written(spark, {"a-b": spark.createDataFrame([(1,)], "k int"), "2016": spark.createDataFrame([(2,)], "k int")})
+    one, other = spark.createDataFrame([(1,)], "k int"), spark.createDataFrame([(2,)], "k int")
+    base = written(spark, {"a-b": one, "2016": other})
     assert rows(resolved_union_paths(spark, [base], tag_column="leaf")) == [(1, "a-b"), (2, "2016")]
 
 
