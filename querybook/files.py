@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from querybook.book import TABLES, query, table
+from tableprep.operators.sizing import compact as compact_table
 from tableprep.operators.sizing import compaction_plan as plan_compaction
 from tableprep.operators.sizing import recommend_partitions as recommend
 from tableprep.sinks import writers
@@ -173,13 +174,17 @@ def recommend_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend(table(spark, sf_dir, "lineitem"))
 
 
-@query("""
-    select count(*) as files, sum(size)::bigint as bytes,
-           greatest(1, floor(0.5 + sum(size) / 256000000.0))::bigint as recommended
-    from read_blob('/root/testdata/sf0.01/*.parquet')
-""")
+@query("select l_orderkey, l_linenumber, true as as_planned from lineitem")
 def compaction_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan_compaction(spark, sf_dir).select("files", "bytes", "recommended")
+    """A table of many files, planned and rewritten; every row must survive in the planned number of files."""
+    location = scratch_dir(spark, "compaction")
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    writers.write_parquet(rows, f"{location}/small")
+    planned = plan_compaction(spark, f"{location}/small").select("recommended")
+    compact_table(spark, f"{location}/small", f"{location}/sized")
+    files = plan_compaction(spark, f"{location}/sized").select("files")
+    as_planned = planned.first()[0] == files.first()[0]
+    return readers.read_parquet(spark, f"{location}/sized").withColumn("as_planned", F.lit(as_planned))
 
 
 @query("""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tableprep.errors import DEFAULT_CODE, READ_FILE_CODE, EmptyInputError, ReadError, guard
 from tableprep.functions.columns import quoted
-from tableprep.operators.rowid import dense_row_id
+from tableprep.operators.rowid import BROADCAST_FILES, dense_row_id
 
 
 def _read(
@@ -108,4 +108,6 @@ def read_lines(spark: SparkSession, *paths: str, numbered: bool = False, code: i
     )
     ids = dense_row_id(placed, ["file", "split_start", "place"], "id")
     firsts = ids.groupBy("file").agg(F.min("id").alias("first"))
+    if firsts.count() <= BROADCAST_FILES:
+        firsts = F.broadcast(firsts)
     return ids.join(firsts, "file").select("file", (F.col("id") - F.col("first") + 1).alias("line_no"), "value")

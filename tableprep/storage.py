@@ -56,6 +56,9 @@ def rename(spark: SparkSession, source: str, target: str) -> bool:
     return fs.rename(hadoop, spark._jvm.org.apache.hadoop.fs.Path(target))
 
 
+_handed_out: dict[str, list[str]] = {}
+
+
 @cache
 def _local_base(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"run-{application}-")
@@ -75,9 +78,17 @@ def scratch_base(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh directory in the shared folder, dropped when the application ends."""
+    """A fresh directory in the shared folder, dropped by ``clear_scratch`` or when the application ends."""
     path = f"{scratch_base(spark)}/tableprep-{label}-{uuid.uuid4().hex}"
     fs, hadoop = hadoop_path(spark, path)
     fs.mkdirs(hadoop)
     fs.deleteOnExit(hadoop)
+    _handed_out.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Drop all scratch data of this application. Frames that still read it fail afterwards."""
+    for path in _handed_out.pop(spark.sparkContext.applicationId, []):
+        fs, hadoop = hadoop_path(spark, path)
+        fs.delete(hadoop, True)

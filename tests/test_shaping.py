@@ -14,7 +14,7 @@ from tableprep.operators.colnames import (
 from tableprep.operators.rowid import dense_row_id, surrogate_id
 from tableprep.operators.views import preview, schema_report, show_string, view_from_parquet
 from tableprep.sinks.writers import write_parquet
-from tableprep.storage import list_children, scratch_base, scratch_dir
+from tableprep.storage import clear_scratch, is_directory, list_children, scratch_base, scratch_dir
 from tableprep.streaming.incremental import high_water_mark, incremental_load, incremental_stream
 from tests.test_reconcile import explained, rows
 
@@ -237,6 +237,13 @@ def test_stream_loads_every_file_once(spark):
     assert load() == 9
 
 
+def test_scratch_is_dropped_on_request(spark):
+    path = scratch_dir(spark, "test")
+    assert is_directory(spark, path)
+    clear_scratch(spark)
+    assert not is_directory(spark, path)
+
+
 def session(folder, master):
     """Just enough of a session to choose a scratch folder."""
     return SimpleNamespace(
