@@ -10,6 +10,12 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def source_path() -> Column:
+    """Path of the file a row was read from, as it is listed; Spark hands it out with some characters escaped."""
+    path = F.col("_metadata.file_path")
+    return F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+
+
 def typed_null(data_type: T.DataType) -> Column:
     return F.lit(None).cast(data_type)
 

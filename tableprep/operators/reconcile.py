@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tableprep.errors import VIEW_FROM_PARQUET_CODE, SchemaError
+from tableprep.functions.columns import source_path
 from tableprep.functions.types import distinct_types, reader_widens, resolve_type, type_of_default
 from tableprep.plans.projection import aligned, by_lower_name, union_all
 from tableprep.sources.listing import discover_tables
@@ -159,7 +160,7 @@ def _scan_groups(
 
 def source_tag(pattern: str = LEAF_DIRECTORY) -> Column:
     """Part of the path of the file a row was read from; by default the directory holding the file."""
-    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    return F.regexp_extract(source_path(), pattern, 1)
 
 
 def resolved_union_paths(

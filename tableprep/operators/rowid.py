@@ -13,7 +13,11 @@ BROADCAST_FILES = 100_000
 
 
 def surrogate_id(frame: DataFrame, name: str = "seqnum", offset: int = 0) -> DataFrame:
-    """Unique, not dense ids in front of the columns; narrow, no shuffle. Ids change when the job runs again."""
+    """Unique, not dense ids in front of the columns; narrow, no shuffle. Ids change when the job runs again.
+
+    Meant for rows straight from files: after a shuffle a repeated task may meet its rows in another order, and rows
+    already passed on would keep the old ids.
+    """
     return frame.select((F.monotonically_increasing_id() + F.lit(offset).cast("bigint")).alias(name), "*")
 
 
@@ -30,7 +34,7 @@ def dense_row_id(
     Rows are range-partitioned by ``keys``, sorted within partitions and written once (to ``location``, or to the
     shared scratch folder). A row's id is its position in its file plus the rows of the files before it, so lost
     executors cannot change it. Runs of equal keys are split between tasks by the partition each row came from, and
-    numbered in any order.
+    numbered in any order. A column already called ``name`` is numbered anew in its place, else the ids come last.
     """
     spark = frame.sparkSession
     order = [quoted(k) for k in keys]
@@ -53,6 +57,8 @@ def dense_row_id(
     if len(shifts) <= BROADCAST_FILES:
         shift = F.broadcast(shift)
     placed = written.select("*", file_name.alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    return placed.join(shift, "__file").select(
-        *[quoted(c) for c in frame.columns], (F.col("__shift") + F.col("__row")).alias(name)
-    )
+    row_id = (F.col("__shift") + F.col("__row")).alias(name)
+    columns = [row_id if c.lower() == name.lower() else quoted(c) for c in frame.columns]
+    if name.lower() not in [c.lower() for c in frame.columns]:
+        columns.append(row_id)
+    return placed.join(shift, "__file").select(*columns)

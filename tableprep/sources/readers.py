@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tableprep.errors import DEFAULT_CODE, READ_FILE_CODE, EmptyInputError, ReadError, guard
-from tableprep.functions.columns import quoted
+from tableprep.functions.columns import quoted, source_path
 from tableprep.operators.rowid import BROADCAST_FILES, dense_row_id
 
 
@@ -103,7 +103,7 @@ def read_lines(spark: SparkSession, *paths: str, numbered: bool = False, code: i
     if not numbered:
         return lines
     placed = lines.select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split_start"),
+        "value", source_path().alias("file"), F.col("_metadata.file_block_start").alias("split_start"),
         F.monotonically_increasing_id().alias("place"),
     )
     ids = dense_row_id(placed, ["file", "split_start", "place"], "id")

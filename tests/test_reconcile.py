@@ -127,6 +127,11 @@ def test_paths_with_odd_leaf_names(spark):
     assert rows(resolved_union_paths(spark, [base], tag_column="leaf")) == [(1, "a-b"), (2, "2016")]
 
 
+def test_tags_of_paths_with_spaces_and_accents(spark):
+    base = written(spark, {"jan 2016": spark.createDataFrame([(1,)], "k int"), "é%20+": spark.range(1).toDF("k")})
+    assert rows(resolved_union_paths(spark, [base], tag_column="leaf")) == [(0, "é%20+"), (1, "jan 2016")]
+
+
 def test_a_directory_of_files_is_one_table(spark):
     base = written(spark, {"one": spark.range(3)})
     assert discover_tables(spark, f"{base}/one") == [f"{base}/one"]

@@ -151,6 +151,13 @@ def test_dense_ids_of_one_hot_row(spark):
     assert largest < 2000  # the hot value alone is a third of the rows and does not end up in one task
 
 
+def test_a_column_is_numbered_anew_in_its_place(spark):
+    frame = spark.createDataFrame([(9, "b"), (9, "a")], "Seq int, k string")
+    result = dense_row_id(frame, ["k"], "seq", start=0)
+    assert result.dtypes == [("seq", "bigint"), ("k", "string")]
+    assert rows(result) == [(0, "a"), (1, "b")]
+
+
 def test_dense_ids_of_nothing(spark):
     assert dense_row_id(spark.range(0), ["id"]).count() == 0
 
