@@ -13,6 +13,7 @@ from tableprep.operators.generate import pi_of_points, random_block
 from tableprep.operators.views import preview as preview_of
 from tableprep.operators.views import schema_report as report_schema
 from tableprep.operators.views import view_from_parquet as view_of
+from tableprep.plans.projection import union_all
 from tableprep.plans.sqljobs import sql_file_job as run_sql_file
 from tableprep.plans.sqljobs import sql_query as run_sql
 from tableprep.sinks.writers import write_text_blob
@@ -85,10 +86,7 @@ def reserved_word_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "customer").select("c_mktsegment"),
         table(spark, sf_dir, "part").select(F.explode(F.split("p_name", " "))),
     ]
-    united = names[0]
-    for more in names[1:]:
-        united = united.union(more)
-    return reserved_word_names(united.groupBy("name").agg(F.count("*").alias("n")), "name")
+    return reserved_word_names(union_all(names).groupBy("name").agg(F.count("*").alias("n")), "name")
 
 
 LABELS_SQL = ", ".join(

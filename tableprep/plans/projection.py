@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -50,5 +49,11 @@ def aligned(
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
-    """Bag union of frames that already share one projection; duplicates stay."""
-    return reduce(DataFrame.union, frames)
+    """Bag union of frames that already share one projection; duplicates stay.
+
+    Halves are joined first: Spark analyses every intermediate union anew, which a long chain would make quadratic.
+    """
+    if len(frames) == 1:
+        return frames[0]
+    middle = len(frames) // 2
+    return union_all(frames[:middle]).union(union_all(frames[middle:]))

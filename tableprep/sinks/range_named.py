@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tableprep.errors import EmptyInputError, WriteError
 from tableprep.sinks.writers import ERROR, write_parquet
-from tableprep.storage import list_children, part_order, rename
+from tableprep.sources.listing import file_catalog
+from tableprep.storage import part_order, rename
+
+RENAMES_AT_ONCE = 16
 
 
 def range_name(table: str, number: int, files: int, extension: str) -> str:
@@ -22,19 +27,22 @@ def rename_parts(spark: SparkSession, path: str) -> list[str]:
 
     Only file names change case, never directories. Metadata calls only; no data moves on a real file system.
     """
-    parts = [e for e in list_children(spark, path) if not e.is_dir and e.name.startswith("part-")]
+    listed = file_catalog(spark, path, "part-*").select("path").collect()
+    parts = sorted((tuple(r.path.rsplit("/", 1)) for r in listed), key=lambda part: part_order(part[1]))
     if not parts:
         raise EmptyInputError(f"no part files under {path}")
     table = path.rstrip("/").rsplit("/", 1)[-1]
-    names = []
-    for number, part in enumerate(sorted(parts, key=lambda e: part_order(e.name))):
-        last = part.name.rsplit("-", 1)[-1]
-        extension = last[last.index("."):] if "." in last else ""
-        name = range_name(table, number, len(parts), extension)
-        if not rename(spark, part.path, part.path[: -len(part.name)] + name):
-            raise WriteError(f"cannot rename {part.path} to {name}")
-        names.append(name)
-    return names
+
+    def rename_one(number: int) -> str:
+        folder, part = parts[number]
+        last = part.rsplit("-", 1)[-1]
+        name = range_name(table, number, len(parts), last[last.index("."):] if "." in last else "")
+        if not rename(spark, f"{folder}/{part}", f"{folder}/{name}"):
+            raise WriteError(f"cannot rename {folder}/{part} to {name}")
+        return name
+
+    with ThreadPoolExecutor(RENAMES_AT_ONCE) as pool:
+        return list(pool.map(rename_one, range(len(parts))))
 
 
 def write_range_named(frame: DataFrame, path: str, files: int | None = None, mode: str = ERROR) -> list[str]:

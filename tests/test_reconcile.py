@@ -197,6 +197,19 @@ def test_filters_and_columns_reach_every_scan(spark):
                for line in details)
 
 
+def test_a_filter_on_the_tag_skips_whole_files(spark):
+    base = written(spark, {f"y{n}": spark.createDataFrame([(n,)], "k int") for n in range(1, 7)})
+    united = resolved_union_paths(spark, [base], tag_column="leaf")
+    one = united.where("leaf = 'y3'")
+    assert rows(one) == [(3, "y3")]
+    assert one.rdd.getNumPartitions() < united.rdd.getNumPartitions()
+
+
+def test_many_frames(spark):
+    frames = [spark.createDataFrame([(n,)], "k int" if n % 2 else "k bigint") for n in range(60)]
+    assert rows(resolved_union(frames)) == sorted([(n,) for n in range(60)], key=repr)
+
+
 def test_view_is_registered(spark):
     base = written(spark, {"a": spark.range(2)})
     resolved_union_paths(spark, [base], view_name="united")
