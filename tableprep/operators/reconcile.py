@@ -14,7 +14,7 @@ from tableprep.functions.types import distinct_types, reader_widens, resolve_typ
 from tableprep.plans.projection import aligned, by_lower_name, union_all
 from tableprep.sources.listing import discover_tables
 from tableprep.sources.readers import read_parquet
-from tableprep.storage import list_children
+from tableprep.storage import iter_children
 
 LEAF_DIRECTORY = r"([^/]+)/[^/]+$"
 
@@ -127,8 +127,8 @@ def open_instances(spark: SparkSession, paths: Sequence[str], parallelism: int =
 
     def open_one(path: str) -> TableInstance:
         schema = read_parquet(spark, path, code=VIEW_FROM_PARQUET_CODE).schema
-        partitioned = any(e.is_dir and "=" in e.name for e in list_children(spark, path))
-        return TableInstance(path, schema, partitioned)
+        first = next(iter_children(spark, path), None)
+        return TableInstance(path, schema, first is not None and first.is_dir and "=" in first.name)
 
     tables = [table for path in paths for table in discover_tables(spark, path)]
     with ThreadPoolExecutor(parallelism) as pool:

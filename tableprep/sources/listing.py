@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tableprep.errors import READ_FILE_CODE, VIEW_FROM_PARQUET_CODE, EmptyInputError, ReadError, guard
-from tableprep.storage import list_children
+from tableprep.storage import iter_children, list_children
 
 FILE_COLUMNS = ("path", "modificationTime", "length")
 
@@ -38,13 +38,16 @@ def list_databases(spark: SparkSession) -> DataFrame:
 
 
 def discover_tables(spark: SparkSession, path: str) -> list[str]:
-    """Paths of the tables under ``path``: its child directories, or ``path`` itself when it holds Parquet files."""
-    entries = list_children(spark, path)
-    if not entries:
-        raise EmptyInputError(f"no tables under {path}", VIEW_FROM_PARQUET_CODE)
-    if any(not e.is_dir and e.name.endswith("parquet") for e in entries):
-        return [path]
-    tables = [e.path for e in entries if e.is_dir]
+    """Paths of the tables under ``path``: its child directories, or ``path`` itself when it holds Parquet files.
+
+    The first Parquet file settles it, so a table of very many files is not listed to its end.
+    """
+    tables = []
+    for entry in iter_children(spark, path):
+        if entry.is_dir:
+            tables.append(entry.path)
+        elif entry.name.endswith("parquet"):
+            return [path]
     if not tables:
         raise EmptyInputError(f"no tables under {path}", VIEW_FROM_PARQUET_CODE)
-    return tables
+    return sorted(tables)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -34,15 +35,21 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop) and fs.getFileStatus(hadoop).isDirectory()
 
 
-def list_children(spark: SparkSession, path: str) -> list[Entry]:
-    """Files and directories directly under ``path``, sorted by name; names starting with ``_`` or ``.`` are skipped."""
+def iter_children(spark: SparkSession, path: str) -> Iterator[Entry]:
+    """Files and directories directly under ``path`` as the listing delivers them; ``_`` and ``.`` names are skipped."""
     with guard(ReadError, f"cannot list {path}", READ_FILE_CODE):
         fs, hadoop = hadoop_path(spark, path)
-        entries = [
-            Entry(s.getPath().toString(), s.getPath().getName(), s.isDirectory(), s.getLen())
-            for s in fs.listStatus(hadoop)
-        ]
-    return sorted((e for e in entries if e.name[0] not in "_."), key=lambda e: e.name)
+        statuses = fs.listStatusIterator(hadoop)
+        while statuses.hasNext():
+            status = statuses.next()
+            child = status.getPath()
+            if child.getName()[0] not in "_.":
+                yield Entry(child.toString(), child.getName(), status.isDirectory(), status.getLen())
+
+
+def list_children(spark: SparkSession, path: str) -> list[Entry]:
+    """All children, sorted by name."""
+    return sorted(iter_children(spark, path), key=lambda e: e.name)
 
 
 def part_order(name: str) -> tuple[int, str]:
