@@ -9,66 +9,88 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tableprep.functions.columns import quoted
 from tableprep.functions.fixed import CLASS_LABELS, TOO_HIGH, bucket_label
 
-ROWS_PER_STEP = 256  # texts decoded together inside a task
+STEP_BYTES = 2**20  # text counted at once inside a task
 LEADING_HYPHEN = -1  # stands for a hyphen that starts a text, beside its own code point
 
 
-def character_counts(
-    frame: DataFrame, column: str, by: Sequence[str] = (), leading_hyphens_too: bool = False
+def _partial_counts(
+    frame: DataFrame, column: str, by: Sequence[str], leading_hyphens_too: bool = False
 ) -> DataFrame:
-    """(by…, code_point, n): how often each character occurs in ``column``.
+    """(by…, code_point, n): characters counted per step, still to be summed.
 
     ``leading_hyphens_too`` adds the texts that start with a hyphen, under ``LEADING_HYPHEN``.
 
-    Each Arrow batch is counted with array operations inside its task, so what is shuffled is one row per task, group
-    and distinct character, never one row per character.
+    Tasks count about a mebibyte of text at a time with array operations, so what is shuffled is one row per task,
+    group and distinct character, never one row per character, and a very long text needs no more than its own size.
     """
     by = list(by)
-    low, lead, rows_per_step = TOO_HIGH, LEADING_HYPHEN, ROWS_PER_STEP
+    low, lead, step_bytes = TOO_HIGH, LEADING_HYPHEN, STEP_BYTES
 
     def count_batches(batches):
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        def steps(batch):
+            """Whole rows of about ``step_bytes``."""
+            sizes = pc.fill_null(pc.binary_length(batch.column(len(by))), 0).to_numpy(zero_copy_only=False)
+            lots = np.cumsum(sizes, dtype=np.int64) // step_bytes
+            edges = [0, *(np.flatnonzero(np.diff(lots)) + 1), batch.num_rows]
+            for first, last in zip(edges, edges[1:]):
+                yield batch.slice(first, last - first)
+
+        def count_step(step):
+            group = np.zeros(step.num_rows, dtype=np.int64)
+            for i in range(len(by)):
+                codes = step.column(i).dictionary_encode(null_encoding="encode")
+                group = group * len(codes.dictionary) + codes.indices.to_numpy(zero_copy_only=False)
+            _, member, group = np.unique(group, return_index=True, return_inverse=True)
+            texts = step.column(len(by))
+            points = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), dtype=np.uint32)
+            ends = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+            begins = np.concatenate([[0], ends[:-1]])
+            counted, high = np.zeros(len(member) * low, dtype=np.int64), []
+            for start in range(0, len(points), step_bytes):
+                piece = points[start:start + step_bytes].astype(np.int64)
+                lengths = np.minimum(ends, start + len(piece)) - np.maximum(begins, start)
+                owner = np.repeat(group, np.maximum(lengths, 0))
+                is_low = piece < low
+                counted += np.bincount(owner[is_low] * low + piece[is_low], minlength=len(counted))
+                high.append(np.unique(owner[~is_low] * 0x110000 + piece[~is_low], return_counts=True))
+            hit = np.flatnonzero(counted)
+            owners, found, n = [hit // low], [hit % low], [counted[hit]]
+            for pairs, times in high:
+                owners.append(pairs // 0x110000)
+                found.append(pairs % 0x110000)
+                n.append(times)
+            if leading_hyphens_too:
+                starts = pc.starts_with(texts, "-").to_numpy(zero_copy_only=False).astype(bool)
+                owners.append(np.arange(len(member)))
+                found.append(np.full(len(member), lead))
+                n.append(np.bincount(group[starts], minlength=len(member)))
+            keys = pa.array(member[np.concatenate(owners)])
+            return pa.RecordBatch.from_arrays(
+                [
+                    *[step.column(i).take(keys) for i in range(len(by))],
+                    pa.array(np.concatenate(found).astype(np.int32)), pa.array(np.concatenate(n).astype(np.int64)),
+                ],
+                names=[*by, "code_point", "n"],
+            )
+
         for batch in batches:
-            for first in range(0, batch.num_rows, rows_per_step):
-                step = batch.slice(first, rows_per_step)
-                step = step.filter(pc.is_valid(step.column(len(by))))
-                if step.num_rows == 0:
-                    continue
-                group = np.zeros(step.num_rows, dtype=np.int64)
-                for i in range(len(by)):
-                    codes = step.column(i).dictionary_encode(null_encoding="encode")
-                    group = group * len(codes.dictionary) + codes.indices.to_numpy(zero_copy_only=False)
-                _, member, group = np.unique(group, return_index=True, return_inverse=True)
-                texts = step.column(len(by))
-                points = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
-                owner = np.repeat(group, pc.utf8_length(texts).to_numpy(zero_copy_only=False))
-                is_low = points < low
-                counted = np.bincount(owner[is_low] * low + points[is_low], minlength=len(member) * low)
-                hit = np.flatnonzero(counted)
-                pairs, high_n = np.unique(owner[~is_low] * 0x110000 + points[~is_low], return_counts=True)
-                leads = np.zeros(0, dtype=np.int64)
-                if leading_hyphens_too:
-                    starts = pc.starts_with(texts, "-").to_numpy(zero_copy_only=False).astype(bool)
-                    leads = np.bincount(group[starts], minlength=len(member))
-                owners = np.concatenate([hit // low, pairs // 0x110000, np.arange(len(leads))])
-                points = np.concatenate([hit % low, pairs % 0x110000, np.full(len(leads), lead)])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[step.column(i).take(pa.array(member[owners])) for i in range(len(by))],
-                        pa.array(points.astype(np.int32)),
-                        pa.array(np.concatenate([counted[hit], high_n, leads]).astype(np.int64)),
-                    ],
-                    names=[*by, "code_point", "n"],
-                )
+            batch = batch.filter(pc.is_valid(batch.column(len(by))))
+            if batch.num_rows:
+                yield from map(count_step, steps(batch))
 
     fields = [frame.schema[c] for c in by]
     partial = T.StructType([*fields, T.StructField("code_point", T.IntegerType()), T.StructField("n", T.LongType())])
     texts = frame.select(*[quoted(c) for c in by], quoted(column).cast("string").alias("__text"))
-    counts = texts.mapInArrow(count_batches, partial)
-    return counts.groupBy(*[quoted(c) for c in by], "code_point").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(count_batches, partial)
+
+
+def character_counts(frame: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by…, code_point, n): how often each character occurs in ``column``."""
+    return _partial_counts(frame, column, by).groupBy(*[quoted(c) for c in by], "code_point").agg(F.sum("n").alias("n"))
 
 
 def with_bucket_label(buckets: DataFrame, bucket: str = "bucket") -> DataFrame:
@@ -85,10 +107,10 @@ def char_histogram(
     ``include`` keeps only the listed buckets among 0-255; bucket 256 always stays.
     """
     bucket = F.least(F.col("code_point"), F.lit(TOO_HIGH)).alias("bucket")
-    counts = character_counts(frame, column, by).groupBy(*[quoted(c) for c in by], bucket).agg(F.sum("n").alias("n"))
+    counts = _partial_counts(frame, column, by).select(*[quoted(c) for c in by], bucket, "n")
     if include is not None:
         counts = counts.where(F.col("bucket").isin([*include, TOO_HIGH]))
-    return with_bucket_label(counts)
+    return with_bucket_label(counts.groupBy(*[quoted(c) for c in by], "bucket").agg(F.sum("n").alias("n")))
 
 
 def leading_hyphens(text: Column) -> Column:
@@ -113,7 +135,7 @@ def char_class_totals(frame: DataFrame, column: str, by: Sequence[str] = ()) ->
 
     Letters are Unicode letters; typeable is the space to the tilde. Characters that rule out a number are typeables
     other than digits, dots and a leading hyphen; those that rule out a date or time are typeables other than digits,
-    ``/ : . T Z``, spaces and non-leading hyphens. Classes are decided once per distinct character.
+    ``/ : . T Z``, spaces and non-leading hyphens. Classes are decided per counted character, not per occurrence.
     """
     n, point = F.col("n"), F.col("code_point")
     char = F.decode(F.unhex(F.lpad(F.hex(F.greatest(point, F.lit(0))), 8, "0")), "UTF-32")
@@ -125,7 +147,7 @@ def char_class_totals(frame: DataFrame, column: str, by: Sequence[str] = ()) ->
     def total(condition: Column, name: str) -> Column:
         return F.coalesce(F.sum(F.when(condition, n)), F.lit(0)).alias(name)
 
-    totals = character_counts(frame, column, by, leading_hyphens_too=True).groupBy(*[quoted(c) for c in by]).agg(
+    totals = _partial_counts(frame, column, by, leading_hyphens_too=True).groupBy(*[quoted(c) for c in by]).agg(
         total(real & ~digit, "non_digit"),
         total(real & letter, "letter"),
         total(digit, "digit"),

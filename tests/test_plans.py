@@ -43,7 +43,8 @@ def test_narrow_operators_do_not_shuffle(plans, name):
     assert "Exchange" not in tree(plans[name])
 
 
-@pytest.mark.parametrize("name", ["value_counts", "layered_overlay", "overlay_tables", "reserved_word_columns"])
+@pytest.mark.parametrize("name", ["value_counts", "layered_overlay", "overlay_tables", "reserved_word_columns",
+                                  "char_histogram", "char_class_totals"])
 def test_aggregates_combine_before_their_only_shuffle(plans, name):
     assert tree(plans[name]).count("Exchange") == 1
     assert "partial_" in plans[name]

@@ -74,6 +74,15 @@ def test_many_rows_per_step(spark):
     assert {(r.g, r.code_point): r.n for r in got} == {(g, c): 1000 for g in (0, 1) for c in (97, 98)}
 
 
+def test_texts_longer_than_a_step(spark):
+    frame = spark.range(5).select(
+        "id", F.concat(F.lit("é"), F.repeat(F.lit("ab€"), 500_000), F.lit("-")).alias("t")
+    ).repartition(1)
+    got = {(r.id, r.code_point): r.n for r in profile.character_counts(frame, "t", ["id"]).collect()}
+    one = {ord("é"): 1, ord("a"): 500_000, ord("b"): 500_000, ord("€"): 500_000, ord("-"): 1}
+    assert got == {(i, c): n for i in range(5) for c, n in one.items()}
+
+
 def test_no_text_at_all(spark):
     assert profile.char_histogram(spark.createDataFrame([], "t string"), "t").count() == 0
     assert profile.char_class_totals(spark.createDataFrame([(None,)], "t string"), "t").first().letter == 0
