@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tableprep.errors import DEFAULT_CODE, WRITE_FILE_CODE, WriteError, guard
+from tableprep.functions.columns import quoted
 
 ERROR = "errorifexists"
 
@@ -46,9 +47,13 @@ def write_gzip_intermediate(frame: DataFrame, raw_path: str, mode: str = ERROR,
 
 
 def write_text_blob(spark: SparkSession, body: str | DataFrame, path: str, mode: str = ERROR) -> None:
-    """One string to one UTF-8 file. ``body`` may be a one-row frame, so the text need not pass through the driver."""
+    """One string to one UTF-8 file in the folder ``path``; the file ends with a line break.
+
+    ``body`` may be a one-row frame, so the text need not pass through the driver.
+    """
     row = body if isinstance(body, DataFrame) else spark.createDataFrame([(body,)], "value string")
-    write_text(row.coalesce(1), path, mode, WRITE_FILE_CODE, lineSep="\n")
+    text = F.regexp_replace(quoted(row.columns[0]), r"\n\z", "").alias("value")
+    write_text(row.select(text).coalesce(1), path, mode, WRITE_FILE_CODE, lineSep="\n")
 
 
 def prefixed_name(prefix: str, table: str) -> str:
@@ -77,6 +82,6 @@ def partitioned_sink(
     values with very many rows over several tasks. Without it nothing is shuffled and every task writes to every
     value it meets.
     """
-    rows = frame.hint("rebalance", *by) if rebalance else frame
+    rows = frame.hint("rebalance", *[quoted(c) for c in by]) if rebalance else frame
     with guard(WriteError, f"cannot write {fmt} to {path}"):
         rows.write.format(fmt).mode(mode).options(**options).partitionBy(*by).save(path)

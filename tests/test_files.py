@@ -117,9 +117,12 @@ def test_gzip_intermediate(spark):
 
 def test_text_blob_is_utf8(spark):
     path = scratch_dir(spark, "test") + "/blob"
-    writers.write_text_blob(spark, "première\n€", path)
-    assert [r[0] for r in readers.read_text(spark, path, wholetext=True).collect()] == ["première\n€\n"]
-    assert len([e for e in list_children(spark, path)]) == 1
+    for body in ("première\n€", "première\n€\n"):
+        writers.write_text_blob(spark, body, path, mode="overwrite")
+        assert [r[0] for r in readers.read_text(spark, path, wholetext=True).collect()] == ["première\n€\n"]
+        assert len(list_children(spark, path)) == 1
+    writers.write_text_blob(spark, "\n\n", path, mode="overwrite")
+    assert readers.read_text(spark, path, wholetext=True).first()[0] == "\n\n"
 
 
 def test_range_names():
@@ -171,6 +174,20 @@ def test_partitioned_sink(spark, fmt, rebalance):
     assert [e.name for e in list_children(spark, path)] == ["load_ts=a", "load_ts=b"]
 
 
+def test_partitioned_sink_splits_a_hot_value(spark):
+    path = scratch_dir(spark, "test") + "/t"
+    hot = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 40)
+    frame = spark.range(0, 120_000, 1, 4).select(F.sha2(F.col("id").cast("string"), 256).alias("h"), hot.alias("load"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "300k")
+    try:
+        writers.partitioned_sink(frame, path, ["load"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {e.name: len(list_children(spark, e.path)) for e in list_children(spark, path)}
+    assert files["load=-1"] > 2 and max(n for name, n in files.items() if name != "load=-1") <= 4
+    assert spark.read.parquet(path).count() == 120_000
+
+
 def test_sql(spark):
     assert rows(sql_query(spark, "select sum(id) as s from numbers where id < :top", {"numbers": spark.range(9)},
                           {"top": 3})) == [(3,)]
