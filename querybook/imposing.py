@@ -13,12 +13,15 @@ from tableprep.functions.columns import round_money as money
 from tableprep.functions.fixed import MONEY_COMMENT
 from tableprep.operators.imposed import ImposedRules, KeyOffset
 from tableprep.operators.imposed import imposed_union as union_imposed
+from tableprep.operators.imposed import imposed_union_paths as union_imposed_paths
 from tableprep.operators.imposed import lookup_schema as declared_schema
 from tableprep.operators.imposed import select_columns_ci as columns_of
 from tableprep.operators.profile import row_count as count_rows
 from tableprep.operators.profile import value_counts as frequencies
 from tableprep.operators.rowid import dense_row_id as number_rows
 from tableprep.operators.rowid import surrogate_id as with_surrogate_id
+from tableprep.sinks.writers import write_parquet
+from tableprep.storage import scratch_dir
 
 MONEY = T.DecimalType(18, 2)
 
@@ -35,7 +38,7 @@ def built_key() -> Column:
     )
 
 
-@query(f"""
+IMPOSED_SQL = f"""
     select try_cast(k as bigint) + 100000000000000 as person_id, o_orderkey,
            o_totalprice::decimal(18, 2) as o_totalprice, case when o_orderdate < timestamp '1998-01-01'
            then o_orderdate::date::timestamp end as day,
@@ -43,9 +46,23 @@ def built_key() -> Column:
            as code
     from (select *, {KEY_SQL} as k from orders)
     where k is not null and k <> ''
-""")
-def imposed_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two instances, one without day and code and with other spellings, under one declared schema."""
+"""
+
+IMPOSED_COLUMNS = "cust_key, o_orderkey, o_totalprice, day, code"
+IMPOSED_RULES = ImposedRules(
+    key_offsets={"cust_key": KeyOffset("person_id")}, money_type=MONEY, null_codes={"code": "9"}, required_key="cust_key"
+)
+
+
+def imposed_schema() -> T.StructType:
+    return (
+        T.StructType().add("cust_key", "string").add("o_orderkey", "long")
+        .add("o_totalprice", "double", True, {"comment": MONEY_COMMENT}).add("day", "date").add("code", "string")
+    )
+
+
+def keyed_orders(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Two instances of orders, the later one without day and code and with other spellings."""
     orders = table(spark, sf_dir, "orders")
     day = F.col("o_orderdate")
     turn = F.lit("1998-01-01").cast("timestamp_ntz")
@@ -56,15 +73,24 @@ def imposed_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = orders.where(day >= turn).select(
         built_key().alias("CUST_KEY"), "o_orderkey", F.col("o_totalprice").alias("O_TotalPrice")
     )
-    schema = (
-        T.StructType().add("cust_key", "string").add("o_orderkey", "long")
-        .add("o_totalprice", "double", True, {"comment": MONEY_COMMENT}).add("day", "date").add("code", "string")
-    )
-    rules = ImposedRules(
-        key_offsets={"cust_key": KeyOffset("person_id")}, money_type=MONEY, null_codes={"code": "9"},
-        required_key="cust_key",
+    return [old, new]
+
+
+@query(IMPOSED_SQL)
+def imposed_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return union_imposed(keyed_orders(spark, sf_dir), IMPOSED_COLUMNS, imposed_schema(), IMPOSED_RULES)
+
+
+@query(IMPOSED_SQL)
+def imposed_union_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The instances on disk, found by listing and turned into a view with ids; ids themselves cannot be compared."""
+    location = scratch_dir(spark, "imposed")
+    for number, frame in enumerate(keyed_orders(spark, sf_dir)):
+        write_parquet(frame, f"{location}/{number}")
+    union_imposed_paths(
+        spark, [location], IMPOSED_COLUMNS, imposed_schema(), IMPOSED_RULES, "seqnum", 10**12, "keyed_orders"
     )
-    return union_imposed([old, new], "cust_key, o_orderkey, o_totalprice, day, code", schema, rules)
+    return spark.table("keyed_orders").drop("seqnum")
 
 
 @query(f"""

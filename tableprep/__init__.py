@@ -5,7 +5,9 @@ from tableprep.operators.colnames import (
     reserved_word_columns, reserved_word_names, safe_column_names, strip_common_prefix,
 )
 from tableprep.operators.generate import estimate_pi, generate_bulk, pi_of_points, random_block, random_points
-from tableprep.operators.imposed import ImposedRules, KeyOffset, imposed_union, lookup_schema, select_columns_ci
+from tableprep.operators.imposed import (
+    ImposedRules, KeyOffset, imposed_union, imposed_union_paths, lookup_schema, select_columns_ci,
+)
 from tableprep.operators.masking import mask_columns, mask_sensitive
 from tableprep.operators.overlay import layered_overlay, overlay_tables
 from tableprep.operators.profile import (
@@ -35,8 +37,8 @@ __all__ = [
     "EmptyInputError", "ImposedRules", "KeyOffset", "ReadError", "SchemaError", "SqlError", "TablePrepError",
     "WriteError", "char_class_totals", "char_histogram", "character_counts", "compact", "compaction_plan",
     "dense_row_id", "directory_entries", "discover_tables", "drift_report", "estimate_pi", "file_catalog",
-    "file_catalog_recursive", "generate_bulk", "hyphen_position", "imposed_union", "incremental_load",
-    "incremental_stream", "layered_overlay", "list_databases", "lookup_schema", "mask_columns", "mask_sensitive",
+    "file_catalog_recursive", "generate_bulk", "hyphen_position", "imposed_union", "imposed_union_paths",
+    "incremental_load", "incremental_stream", "layered_overlay", "list_databases", "lookup_schema", "mask_columns", "mask_sensitive",
     "observe", "overlay_tables", "partitioned_sink", "pi_of_points", "preview", "random_block", "random_points",
     "read_csv", "read_header_csv", "read_lines", "read_orc", "read_parquet", "read_parquet_instances", "read_text",
     "recommend_partitions", "rename_parts", "reserved_word_columns", "reserved_word_names", "resolve_types",

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tableprep.errors import SchemaError
 from tableprep.functions.columns import not_blank, null_to_code, offset_key, quoted, round_money, typed_null
 from tableprep.functions.fixed import MONEY_COMMENT
-from tableprep.operators.reconcile import observe, resolve_types
+from tableprep.operators.reconcile import observe, resolve_types, scans_by_layout
+from tableprep.operators.rowid import surrogate_id
 from tableprep.plans.projection import aligned, by_lower_name, union_all
 
 
@@ -127,3 +128,31 @@ def imposed_union(
             frame.select(*[_imposed_column(n, declared[n.lower()], present.get(n.lower()), rules) for n in names])
         )
     return union_all(branches)
+
+
+def imposed_union_paths(
+    spark: SparkSession,
+    paths: Sequence[str],
+    columns: str | Sequence[str],
+    schema: T.StructType | None = None,
+    rules: ImposedRules | None = None,
+    id_name: str | None = None,
+    id_offset: int = 0,
+    view_name: str | None = None,
+) -> DataFrame:
+    """Discover the tables under ``paths`` and reduce them to ``columns`` under the declared ``schema``.
+
+    Without a schema the types are resolved from the tables. ``id_name`` puts unique ids in front. The result is
+    registered as ``view_name``; ``write_gzip_intermediate`` stores it beside the raw tables. One scan per distinct
+    schema, not per table.
+    """
+    frames = scans_by_layout(spark, paths)
+    if schema is None:
+        result = select_columns_ci(frames, columns)
+    else:
+        result = imposed_union(frames, columns, schema, rules)
+    if id_name is not None:
+        result = surrogate_id(result, id_name, id_offset)
+    if view_name is not None:
+        result.createOrReplaceTempView(view_name)
+    return result

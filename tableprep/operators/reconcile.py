@@ -150,6 +150,11 @@ def _scan_groups(
     )
     if widening and not missing_default and not any(i.partitioned for i in instances):
         return [(target, list(instances))]
+    return _equal_layouts(instances)
+
+
+def _equal_layouts(instances: Sequence[TableInstance]) -> list[tuple[T.StructType, list[TableInstance]]]:
+    """Instances of equal schema together; those partitioned on disk stay apart, as their roots differ."""
     groups: dict[object, tuple[T.StructType, list[TableInstance]]] = {}
     for number, instance in enumerate(instances):
         layout = tuple((f.name.lower(), f.dataType.simpleString()) for f in instance.schema.fields)
@@ -158,6 +163,16 @@ def _scan_groups(
     return list(groups.values())
 
 
+def _scan(spark: SparkSession, schema: T.StructType, group: Sequence[TableInstance]) -> DataFrame:
+    known = None if group[0].partitioned else schema
+    return read_parquet(spark, *[i.path for i in group], schema=known, code=VIEW_FROM_PARQUET_CODE)
+
+
+def scans_by_layout(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
+    """The tables under ``paths``, one frame per distinct schema."""
+    return [_scan(spark, schema, group) for schema, group in _equal_layouts(open_instances(spark, paths))]
+
+
 def source_tag(pattern: str = LEAF_DIRECTORY) -> Column:
     """Part of the path of the file a row was read from; by default the directory holding the file."""
     return F.regexp_extract(source_path(), pattern, 1)
@@ -181,15 +196,8 @@ def resolved_union_paths(
     fill = _lowered(defaults)
     tagged = _with_tag_field(target, tag_column)
     replaced = {} if tag_column is None else {tag_column.lower(): source_tag(tag_pattern)}
-    branches = [
-        aligned(
-            read_parquet(spark, *[i.path for i in group], schema=None if group[0].partitioned else schema,
-                         code=VIEW_FROM_PARQUET_CODE),
-            tagged, fill, replaced,
-        )
-        for schema, group in _scan_groups(instances, target, fill)
-    ]
-    result = union_all(branches)
+    groups = _scan_groups(instances, target, fill)
+    result = union_all([aligned(_scan(spark, schema, group), tagged, fill, replaced) for schema, group in groups])
     if view_name is not None:
         result.createOrReplaceTempView(view_name)
     return result

@@ -5,8 +5,10 @@ from pyspark.sql import functions as F, types as T
 
 from tableprep.errors import SchemaError
 from tableprep.functions.fixed import MONEY_COMMENT
-from tableprep.operators.imposed import ImposedRules, KeyOffset, imposed_union, lookup_schema, select_columns_ci
-from tests.test_reconcile import explained, rows
+from tableprep.operators.imposed import (
+    ImposedRules, KeyOffset, imposed_union, imposed_union_paths, lookup_schema, select_columns_ci,
+)
+from tests.test_reconcile import explained, rows, written
 
 SCHEMA = (
     T.StructType().add("key", "string").add("amount", "double", True, {"comment": MONEY_COMMENT}).add("day", "date")
@@ -95,3 +97,14 @@ def test_bad_values_become_null(spark):
     frame = spark.createDataFrame([("12",), ("12x",)], "n string")
     assert sorted(imposed_union([frame], "n", SCHEMA).toPandas()["n"].isna()) == [False, True]
     assert imposed_union([frame], "n", SCHEMA).agg(F.sum("n")).first()[0] == 12
+
+
+def test_paths_ids_and_view(spark, instances):
+    base = written(spark, {"y1": instances[0], "y2": instances[1], "y3": instances[0]})
+    result = imposed_union_paths(spark, [base], "key,code", SCHEMA, RULES, "seqnum", 10**12, "imposed_view")
+    assert spark.table("imposed_view").columns == ["seqnum", "person_id", "code"]
+    assert result.count() == 5
+    assert result.agg(F.count_distinct("seqnum")).first()[0] == 5 and result.agg(F.min("seqnum")).first()[0] == 10**12
+    assert explained(result).split("\n\n\n")[0].count("Scan parquet") == 2  # two distinct schemas, three tables
+    resolved = imposed_union_paths(spark, [base], "KEY, amount")
+    assert resolved.dtypes == [("KEY", "string"), ("amount", "double")] and resolved.count() == 9
