@@ -10,14 +10,22 @@ from tableprep.functions.columns import quoted, typed_null
 from tableprep.plans.projection import by_lower_name, union_all
 
 
+def _best(value: Column, rank: Column, data_type: T.DataType) -> Column:
+    """The non-null value of highest rank. Equal ranks go to the greater value, so that every run agrees."""
+    if "map<" in data_type.simpleString():  # maps have no order
+        return F.max_by(value, F.when(value.isNotNull(), rank))
+    pair = F.struct(rank.alias("rank"), value.alias("value"))
+    return F.max(F.when(value.isNotNull(), pair)).getField("value")
+
+
 def layered_overlay(settings: DataFrame, key: str, value: str, precedence: Sequence[str]) -> DataFrame:
     """(key, value) with the value of the highest ``precedence``; values that are null fall through.
 
     A maximum per key, combined before the shuffle, so a key with very many rows costs no more than others.
     """
     rank = F.struct(*[quoted(c) for c in precedence])
-    ranked = F.when(quoted(value).isNotNull(), rank)
-    return settings.groupBy(quoted(key)).agg(F.max_by(quoted(value), ranked).alias(value))
+    best = _best(quoted(value), rank, settings.schema[value].dataType)
+    return settings.groupBy(quoted(key)).agg(best.alias(value))
 
 
 def overlay_tables(layers: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -46,7 +54,5 @@ def overlay_tables(layers: Sequence[DataFrame], keys: Sequence[str]) -> DataFram
         )
 
     bag = union_all([ranked(layer, len(layers) - i) for i, layer in enumerate(layers)])
-    best = [
-        F.max_by(quoted(f.name), F.when(quoted(f.name).isNotNull(), F.col("__rank"))).alias(f.name) for f in values
-    ]
+    best = [_best(quoted(f.name), F.col("__rank"), f.dataType).alias(f.name) for f in values]
     return bag.groupBy(*[quoted(k) for k in keys]).agg(*best)

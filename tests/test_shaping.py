@@ -4,6 +4,7 @@ import datetime
 from types import SimpleNamespace
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
 from tableprep.errors import TablePrepError
@@ -98,8 +99,8 @@ LAYERS = [
 
 
 def test_overlay_and_mask(spark):
-    settings = spark.createDataFrame(LAYERS, "k string, layer int, line int, v string")
-    merged = overlay.layered_overlay(settings, "k", "v", ["layer", "line"])
+    layers = spark.createDataFrame(LAYERS, "k string, layer int, line int, v string")
+    merged = overlay.layered_overlay(layers, "k", "v", ["layer", "line"])
     assert rows(merged) == [
         ("aws_access_key_id", "k2"), ("db_password", "low"), ("unset", None), ("userPasswordFid", "b")
     ]
@@ -118,6 +119,29 @@ def test_overlay_tables(spark):
     assert explained(overlay.overlay_tables([top, middle, base], ["k"])).split("\n\n\n")[0].count("Exchange") == 1
 
 
+CELLS = st.one_of(st.none(), st.integers(0, 3))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.tuples(st.integers(0, 4), CELLS, CELLS), max_size=6), min_size=1, max_size=3))
+def test_overlay_of_anything(spark, layers):
+    frames = [spark.createDataFrame(layer, "k int, a int, b int") for layer in layers]
+    expected = {}
+    for layer in reversed(layers):
+        for k in {row[0] for row in layer}:
+            below = expected.get(k, (None, None))
+            tops = [max((row[i] for row in layer if row[0] == k and row[i] is not None), default=None) for i in (1, 2)]
+            expected[k] = tuple(b if t is None else t for t, b in zip(tops, below, strict=True))
+    assert rows(overlay.overlay_tables(frames, ["k"])) == sorted(((k, *v) for k, v in expected.items()), key=repr)
+
+
+def test_equal_ranks_and_maps(spark):
+    tied = spark.createDataFrame([("k", 1, "a"), ("k", 1, "b"), ("k", 0, "z")], "k string, layer int, v string")
+    assert rows(overlay.layered_overlay(tied, "k", "v", ["layer"])) == [("k", "b")]
+    maps = spark.sql("select 1 as k, map('x', 1) as m")
+    assert rows(overlay.overlay_tables([maps, maps], ["k"])) == [(1, {"x": 1})]
+
+
 def test_masked_columns_are_not_read(spark):
     path = scratch_dir(spark, "test") + "/t"
     spark.createDataFrame([(1, "p", "f")], "k int, DB_Password string, passwordFid string").write.parquet(path)
