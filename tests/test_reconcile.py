@@ -214,3 +214,20 @@ def test_view_is_registered(spark):
     base = written(spark, {"a": spark.range(2)})
     resolved_union_paths(spark, [base], view_name="united")
     assert spark.table("united").count() == 2
+
+
+def test_filters_beyond_the_narrow_type_keep_its_rows(spark):
+    """One scan reads int and bigint files; a bound that overflows int must not skip the int files."""
+    base = written(
+        spark,
+        {
+            "a": spark.createDataFrame([(2_000_000_000, 0.1)], "k int, p float"),
+            "b": spark.createDataFrame([(6_000_000_000, 0.1)], "k bigint, p double"),
+        },
+    )
+    united = resolved_union_paths(spark, [base])
+    assert united.where("k < 5000000000").count() == 1
+    assert united.where("k > -5000000000").count() == 2
+    assert united.where("k in (2000000000, 6000000000)").count() == 2
+    assert united.where("k = 2000000000 - 4294967296").count() == 0
+    assert united.where("p > 0.1").count() == 1 and united.where("p >= 0.1").count() == 2
