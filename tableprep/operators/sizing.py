@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tableprep.errors import WriteError, guard
+from tableprep.functions.columns import quoted, source_path
 from tableprep.functions.fixed import TARGET_FILE_BYTES
 from tableprep.sinks.writers import ERROR, write_parquet
 from tableprep.sources.listing import file_catalog_recursive
 from tableprep.sources.readers import read_parquet
 from tableprep.storage import scratch_dir
 
+BROADCAST_DIRECTORIES = 100_000
+
 
 def files_for(size: Column, target_bytes: int = TARGET_FILE_BYTES) -> Column:
     """Whole files of about ``target_bytes`` that ``size`` bytes fill; at least one."""
@@ -52,27 +58,53 @@ def recommend_partitions(
     return facts.select("*", files_for(scaled, target_bytes).alias("recommended"))
 
 
+def _directory(path: Column) -> Column:
+    """The directory of a file; the slashes after the scheme are dropped, as sources disagree on their number."""
+    return F.regexp_replace(F.regexp_extract(path, r"^(.*)/[^/]+$", 1), r"^([A-Za-z0-9]+):/+", "$1:/")
+
+
 def compaction_plan(
     spark: SparkSession, directory: str, target_bytes: int = TARGET_FILE_BYTES, glob: str = "*.parquet"
 ) -> DataFrame:
     """(directory, files, bytes, recommended) for every directory below ``directory`` that holds files."""
     files = file_catalog_recursive(spark, directory, glob)
-    parent = F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("directory")
-    sizes = files.groupBy(parent).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    sizes = files.groupBy(_directory(F.col("path")).alias("directory")).agg(
+        F.count("*").alias("files"), F.sum("length").alias("bytes")
+    )
     return sizes.select("*", files_for(F.col("bytes"), target_bytes).alias("recommended"))
 
 
 def compact(
-    spark: SparkSession, source: str, target: str, target_bytes: int = TARGET_FILE_BYTES, mode: str = ERROR
+    spark: SparkSession,
+    source: str,
+    target: str,
+    target_bytes: int = TARGET_FILE_BYTES,
+    mode: str = ERROR,
+    by: Sequence[str] = (),
 ) -> int:
     """Rewrite the Parquet table at ``source`` to ``target`` in the recommended number of files; returns it.
 
     Many small files are merged by joining scan tasks, without a shuffle; only a table with fewer tasks than files
-    wanted is spread out.
+    wanted is spread out. With ``by``, the columns the table is partitioned by on disk, every directory gets its own
+    number of files, all in one job: rows are dealt out by their place in their file, so a directory with very many
+    rows is shared by many tasks.
     """
-    total = file_catalog_recursive(spark, source, "*.parquet").agg(F.sum("length").alias("bytes"))
-    wanted = total.select(files_for(F.col("bytes"), target_bytes)).first()[0] or 1
+    plan = compaction_plan(spark, source, target_bytes)
+    wanted = plan.agg(F.coalesce(F.sum("recommended"), F.lit(1))).first()[0]
     table = read_parquet(spark, source)
-    tasks = table.rdd.getNumPartitions()
-    write_parquet(table.coalesce(wanted) if tasks >= wanted else table.repartition(wanted), target, mode)
+    if not by:
+        tasks = table.rdd.getNumPartitions()
+        write_parquet(table.coalesce(wanted) if tasks >= wanted else table.repartition(wanted), target, mode)
+        return wanted
+    if plan.count() <= BROADCAST_DIRECTORIES:
+        plan = F.broadcast(plan)
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    dealt = (
+        table.select("*", _directory(source_path()).alias("__directory"), place.alias("__place"))
+        .join(plan.select(F.col("directory").alias("__directory"), "recommended"), "__directory")
+        .withColumn("__file", F.pmod("__place", "recommended"))
+        .repartition(wanted, "__directory", "__file")
+    )
+    with guard(WriteError, f"cannot write parquet to {target}"):
+        dealt.select(*[quoted(c) for c in table.columns]).write.mode(mode).partitionBy(*by).parquet(target)
     return wanted

@@ -221,6 +221,18 @@ def test_compaction(spark):
     assert spark.read.parquet(f"{base}/many").count() == 4000
 
 
+def test_compaction_of_a_partitioned_table(spark):
+    base = scratch_dir(spark, "test")
+    part = F.when(F.col("id") % 3 > 0, "hot one").otherwise(F.concat(F.lit("p"), F.col("id") % 5))
+    frame = spark.range(0, 30000, 1, 12).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"), part.alias("p"))
+    frame.write.partitionBy("p").parquet(f"{base}/small")
+    sizing.compact(spark, f"{base}/small", f"{base}/sized", target_bytes=300_000, by=["p"])
+    files = {e.name: len(list_children(spark, e.path)) for e in list_children(spark, f"{base}/sized")}
+    assert len(files) == 6 and files.pop("p=hot one") >= 3 and set(files.values()) == {1}
+    back = spark.read.parquet(f"{base}/sized")
+    assert back.exceptAll(frame.select(back.columns)).isEmpty() and back.count() == 30000
+
+
 def test_rounding_of_file_counts(spark):
     sizes = spark.createDataFrame([(0,), (127_999_999,), (384_000_000,), (383_999_999,), (10**15,)], "b bigint")
     assert [r[0] for r in sizes.select(sizing.files_for(F.col("b"))).collect()] == [1, 1, 2, 1, 3906250]
