@@ -44,7 +44,8 @@ def _partial_counts(
             for i in range(len(by)):
                 codes = step.column(i).dictionary_encode(null_encoding="encode")
                 group = group * len(codes.dictionary) + codes.indices.to_numpy(zero_copy_only=False)
-            _, member, group = np.unique(group, return_index=True, return_inverse=True)
+                group = np.unique(group, return_inverse=True)[1]
+            member = np.unique(group, return_index=True)[1]
             texts = step.column(len(by))
             points = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), dtype=np.uint32)
             ends = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
@@ -95,8 +96,8 @@ def character_counts(frame: DataFrame, column: str, by: Sequence[str] = ()) -> D
 
 def with_bucket_label(buckets: DataFrame, bucket: str = "bucket") -> DataFrame:
     """Adds ``label``, the three-wide name of each bucket."""
-    labels = F.array(*[F.lit(bucket_label(i)) for i in range(TOO_HIGH + len(CLASS_LABELS))])
-    return buckets.withColumn("label", F.element_at(labels, F.col(bucket) + 1))
+    labels = "\n".join(bucket_label(i) for i in range(TOO_HIGH + len(CLASS_LABELS)))
+    return buckets.withColumn("label", F.element_at(F.split(F.lit(labels), "\n"), F.col(bucket) + 1))
 
 
 def char_histogram(
