@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tableprep.errors import SchemaError
+from tableprep.errors import SchemaError, guard
 from tableprep.functions.columns import not_blank, null_to_code, offset_key, quoted, round_money, typed_null
 from tableprep.functions.fixed import MONEY_COMMENT
 from tableprep.operators.reconcile import observe, resolve_types, scans_by_layout
@@ -124,9 +124,10 @@ def imposed_union(
                 raise SchemaError(f"required key {rules.required_key!r} is absent from a table")
             key = present[rules.required_key.lower()]
             frame = frame.where(not_blank(quoted(key.name), key.dataType))
-        branches.append(
-            frame.select(*[_imposed_column(n, declared[n.lower()], present.get(n.lower()), rules) for n in names])
-        )
+        with guard(SchemaError, "the declared types do not fit a table"):
+            branches.append(
+                frame.select(*[_imposed_column(n, declared[n.lower()], present.get(n.lower()), rules) for n in names])
+            )
     return union_all(branches)
 
 

@@ -99,6 +99,11 @@ def test_bad_values_become_null(spark):
     assert imposed_union([frame], "n", SCHEMA).agg(F.sum("n")).first()[0] == 12
 
 
+def test_types_that_never_fit(spark):
+    with pytest.raises(SchemaError, match="declared types"):
+        imposed_union([spark.sql("select array(1) as n")], "n", SCHEMA)
+
+
 def test_paths_ids_and_view(spark, instances):
     base = written(spark, {"y1": instances[0], "y2": instances[1], "y3": instances[0]})
     result = imposed_union_paths(spark, [base], "key,code", SCHEMA, RULES, "seqnum", 10**12, "imposed_view")
