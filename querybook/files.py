@@ -148,8 +148,8 @@ def write_text_blob(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_range_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     location = scratch_dir(spark, "named") + "/LineItem"
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    write_named(rows, location, files=4)
-    named = F.col(FILE_NAME).rlike(r"^lineitem-[0-3]in0to3\.snappy\.parquet$").alias("named")
+    write_named(rows, location)
+    named = F.col(FILE_NAME).rlike(r"^lineitem-(\d+in0+to\d+|single)\.snappy\.parquet$").alias("named")
     return readers.read_parquet(spark, location).select("*", named)
 
 

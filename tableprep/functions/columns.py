@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def quoted(name: str) -> Column:
@@ -16,6 +17,15 @@ def source_path() -> Column:
     return F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
 
 
+def is_plain_scan(frame: DataFrame) -> bool:
+    """Whether the rows come straight from files, so that they still know which."""
+    try:
+        frame.select("_metadata.file_path")
+    except AnalysisException:
+        return False
+    return True
+
+
 def typed_null(data_type: T.DataType) -> Column:
     return F.lit(None).cast(data_type)
 

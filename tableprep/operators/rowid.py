@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tableprep.functions.columns import quoted
+from tableprep.functions.columns import is_plain_scan, quoted
 from tableprep.storage import part_order, scratch_dir
 
 BROADCAST_FILES = 100_000
@@ -21,6 +21,14 @@ def surrogate_id(frame: DataFrame, name: str = "seqnum", offset: int = 0) -> Dat
     return frame.select((F.monotonically_increasing_id() + F.lit(offset).cast("bigint")).alias(name), "*")
 
 
+def _ranges(frame: DataFrame) -> int | None:
+    """As many key ranges as the scan has tasks, if those outnumber the shuffle partitions; else Spark decides."""
+    if not is_plain_scan(frame):
+        return None
+    tasks = frame.rdd.getNumPartitions()
+    return tasks if tasks > int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def dense_row_id(
     frame: DataFrame,
     keys: Sequence[str],
@@ -35,15 +43,16 @@ def dense_row_id(
     shared scratch folder). A row's id is its position in its file plus the rows of the files before it, so lost
     executors cannot change it. Runs of equal keys are split between tasks by the partition each row came from, and
     numbered in any order. A column already called ``name`` is numbered anew in its place, else the ids come last.
+    ``num_partitions`` sets the number of key ranges; for a frame that is not a plain scan it defaults to the shuffle
+    partitions of the session.
     """
     spark = frame.sparkSession
     order = [quoted(k) for k in keys]
     location = location or scratch_dir(spark, "rowid") + "/rows"
     tied = frame.withColumn("__origin", F.spark_partition_id())
     bounds = [*order, F.col("__origin")]
-    ranged = (
-        tied.repartitionByRange(*bounds) if num_partitions is None else tied.repartitionByRange(num_partitions, *bounds)
-    )
+    ranges = num_partitions or _ranges(frame)
+    ranged = tied.repartitionByRange(*bounds) if ranges is None else tied.repartitionByRange(ranges, *bounds)
     ranged.sortWithinPartitions(*bounds).drop("__origin").write.parquet(location)
 
     written = spark.read.schema(frame.schema).parquet(location)

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tableprep.errors import WriteError, guard
-from tableprep.functions.columns import quoted, source_path
+from tableprep.functions.columns import is_plain_scan, quoted, source_path
 from tableprep.functions.fixed import TARGET_FILE_BYTES
 from tableprep.sinks.writers import ERROR, write_parquet
 from tableprep.sources.listing import file_catalog_recursive
@@ -28,11 +27,7 @@ def _pieces(frame: DataFrame) -> Column:
 
     Choosing files lets the scan skip all others; a partition number is known only after its rows are made.
     """
-    try:
-        frame.select("_metadata.file_path")
-    except AnalysisException:
-        return F.spark_partition_id()
-    return F.col("_metadata.file_path")
+    return F.col("_metadata.file_path") if is_plain_scan(frame) else F.spark_partition_id()
 
 
 def recommend_partitions(

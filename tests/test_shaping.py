@@ -182,6 +182,20 @@ def test_a_column_is_numbered_anew_in_its_place(spark):
     assert rows(result) == [(0, "a"), (1, "b")]
 
 
+def test_key_ranges_follow_the_size_of_a_scan(spark):
+    base = scratch_dir(spark, "test")
+    spark.range(0, 900, 1, 9).write.parquet(f"{base}/in")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        ids = dense_row_id(spark.read.parquet(f"{base}/in"), ["id"], location=f"{base}/ids")
+        assert ids.where("row_id = id + 1").count() == 900
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(list_children(spark, f"{base}/ids")) >= 9  # the tests set four shuffle partitions
+
+
 def test_dense_ids_of_nothing(spark):
     assert dense_row_id(spark.range(0), ["id"]).count() == 0
 
