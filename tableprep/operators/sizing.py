@@ -47,6 +47,9 @@ def recommend_partitions(
     location = scratch_dir(spark, "sizing") + "/sample"
     write_parquet(frame.where(piece.isin(chosen) if chosen else F.lit(False)), location, compression="gzip")
     sampled = read_parquet(spark, location, schema=frame.schema).count()
+    if sampled == 0 < total:  # partitions of a derived frame may be numbered otherwise in another run
+        write_parquet(frame, location, "overwrite", compression="gzip")
+        sampled = total
     size = file_catalog_recursive(spark, location, "*.gz.parquet").agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     facts = spark.createDataFrame([(total, sampled, size)], "n_rows bigint, sampled_rows bigint, sampled_bytes bigint")
     scaled = F.col("sampled_bytes") * F.col("n_rows") / F.greatest(F.col("sampled_rows"), F.lit(1))
@@ -54,8 +57,12 @@ def recommend_partitions(
 
 
 def _directory(path: Column) -> Column:
-    """The directory of a file; the slashes after the scheme are dropped, as sources disagree on their number."""
-    return F.regexp_replace(F.regexp_extract(path, r"^(.*)/[^/]+$", 1), r"^([A-Za-z0-9]+):/+", "$1:/")
+    return F.regexp_extract(path, r"^(.*)/[^/]+$", 1)
+
+
+def _one_slash(path: Column) -> Column:
+    """A path with one slash after its scheme: listings and scans disagree on their number."""
+    return F.regexp_replace(path, r"^([A-Za-z0-9]+):/+", "$1:/")
 
 
 def compaction_plan(
@@ -91,12 +98,13 @@ def compact(
         tasks = table.rdd.getNumPartitions()
         write_parquet(table.coalesce(wanted) if tasks >= wanted else table.repartition(wanted), target, mode)
         return wanted
-    if plan.count() <= BROADCAST_DIRECTORIES:
-        plan = F.broadcast(plan)
+    few = plan.count() <= BROADCAST_DIRECTORIES
+    plan = plan.select(_one_slash(F.col("directory")).alias("__directory"), "recommended")
+    plan = F.broadcast(plan) if few else plan
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     dealt = (
-        table.select("*", _directory(source_path()).alias("__directory"), place.alias("__place"))
-        .join(plan.select(F.col("directory").alias("__directory"), "recommended"), "__directory")
+        table.select("*", _one_slash(_directory(source_path())).alias("__directory"), place.alias("__place"))
+        .join(plan, "__directory")
         .withColumn("__file", F.pmod("__place", "recommended"))
         .repartition(wanted, "__directory", "__file")
     )
