@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as book
+from querybook.book import ORACLES, QUERIES
 from tests.compare import duck, mismatch
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
@@ -15,11 +16,11 @@ def connection():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(book.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
-    frame = book.queries()[name](spark, SF_DIR)
-    if name in book.oracle_sql():
-        assert mismatch(frame, connection, book.oracle_sql()[name]) is None
+    frame = QUERIES[name](spark, SF_DIR)
+    if name in ORACLES:
+        assert mismatch(frame, connection, ORACLES[name]) is None
     else:
         assert frame.count() > 0
 

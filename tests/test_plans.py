@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as book
+from querybook.book import QUERIES
 from tests.test_reconcile import explained
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -16,19 +17,19 @@ GLOBAL_AGGREGATES = {"drift_report", "resolve_types", "schema_report", "row_coun
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: explained(run(spark, SF_DIR)) for name, run in book.queries().items()}
+    return {name: explained(run(spark, SF_DIR)) for name, run in QUERIES.items()}
 
 
 def tree(plan):
     return plan.split("\n\n\n")[0]
 
 
-@pytest.mark.parametrize("name", sorted(book.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_nothing_quadratic_and_nothing_per_row_in_python(plans, name):
     assert not [word for word in FORBIDDEN if word in tree(plans[name])]
 
 
-@pytest.mark.parametrize("name", sorted(book.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_single_partitions_hold_partial_aggregates_only(plans, name):
     if name not in GLOBAL_AGGREGATES:
         assert "SinglePartition" not in plans[name]
@@ -53,7 +54,7 @@ def test_aggregates_combine_before_their_only_shuffle(plans, name):
 def test_columns_are_pruned(spark, plans):
     schemas = re.findall(r"ReadSchema: struct<(.*)>", plans["value_counts"])
     assert schemas == ["l_returnflag:string"]
-    keys = book.queries()["resolved_union"](spark, SF_DIR).where(F.col("o_orderkey") > 5).select("o_orderkey")
+    keys = QUERIES["resolved_union"](spark, SF_DIR).where(F.col("o_orderkey") > 5).select("o_orderkey")
     details = explained(keys)
     assert details.count("GreaterThan(o_orderkey,5)") == 3
     assert all("o_totalprice" not in s for s in re.findall(r"ReadSchema: (.*)", details))
