@@ -7,16 +7,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tableprep.llm.ann import nearest_neighbours
 from tableprep.llm.bpe import decode_bpe, encode_bpe
+from tableprep.llm.components import stored
 from tableprep.llm.decontaminate import find_leaks
 from tableprep.llm.language import fit_context_trees, held_out, identify_language
 from tableprep.llm.secret_scan import find_secrets, span_list
 from tableprep.llm.simhash import near_duplicates
+from tableprep.llm.token_files import read_token_files, with_starts, write_token_files
+from tableprep.storage import scratch_dir
+from tableprep.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
+WORD_BPE = "word_bpe_49k.json"
+END_ID = 2
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -67,3 +74,24 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
         F.sha2(span_list("base"), 256).alias("base_sha256"), span_list("spans").alias("spans"))
+
+
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_dir(spark, 'tokens')}/files"
+    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE), END_ID)
+    read = read_token_files(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return with_starts(stored(read, "places")).select("doc_id", "start", F.col("n_ids").alias("n_tokens"), "ids_crc32")
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs.where(~held_out("doc_id", 5, 0)), table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model).select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
