@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tableprep.llm.bpe import decode_bpe, encode_bpe
+from tableprep.llm.bpe import encode_bpe
 from tableprep.llm.components import stored
 from tableprep.llm.decontaminate import find_leaks
 from tableprep.llm.language import UNDETERMINED, fit_context_trees, identify_language
@@ -61,7 +61,7 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, token_ids, and the bytes that the ids decode to: n_bytes and decoded_sha256."""
     path = public_tokenizers.path(RANKS)
-    return decode_bpe(encode_bpe(docs, path, public_tokenizers.PATTERN), path).select(
+    return encode_bpe(docs, path, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids",
         F.octet_length("decoded").cast("long").alias("n_bytes"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -10,7 +10,9 @@ how the text began, those tokens are emitted. States and steps are built when fi
 from __future__ import annotations
 
 import base64
+import gc
 import re
+import struct
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -22,8 +24,8 @@ from pyspark.sql import DataFrame, types as T
 
 from tableprep.llm.batches import lists, raw, slices, text
 
-MOST_STATES = 100_000
-MOST_PIECES = 300_000
+MOST_STATES = 120_000
+MOST_PIECES = 150_000
 LONGEST_KEPT = 48
 
 
@@ -68,12 +70,15 @@ class Transducer:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.growing = {token[:i] for token in ranks for i in range(1, len(token))}
-        self.agrees: dict[tuple[int, int], bool] = {}
+        self.agrees: dict[int, bool] = {}
         self.made_of: dict[int, tuple[int, int] | None] = {}
         self.most_states = most_states
+        self.states: dict[tuple[int | None, bytes], _State] = {}
         self._forget()
 
     def _forget(self) -> None:
+        for state in self.states.values():
+            state.steps.clear()  # steps lead in circles; without them the states go at once
         self.start = _State(None, b"", ((0, ()),))
         self.states = {(None, b""): self.start}
 
@@ -94,10 +99,11 @@ class Transducer:
     def _neighbours(self, left: int, right: int) -> bool:
         """Whether two tokens stay apart. Their merges are undone, the latest first; a merge across the border that
         would have come before the one just undone would have taken its place."""
-        known = self.agrees.get((left, right))
+        pair = left << 32 | right
+        known = self.agrees.get(pair)
         if known is not None:
             return known
-        if len(self.agrees) > 4 * self.most_states:
+        if len(self.agrees) > self.most_states:
             self.agrees.clear()
         a, b, before, apart = left, right, float("inf"), True
         while True:
@@ -112,7 +118,7 @@ class Transducer:
                 b, before = halves_b[0], b + 1
             else:
                 break
-        self.agrees[left, right] = apart
+        self.agrees[pair] = apart
         return apart
 
     def _step(self, state: _State, byte: int) -> tuple[_State, tuple]:
@@ -161,16 +167,21 @@ class Transducer:
 
 
 class _Pieces(dict):
-    """Packed ids of pieces met before; emptied when full."""
+    """Packed ids of pieces met before. When full, it becomes the older half and starts anew; what is asked for again
+    comes back from there, so that common pieces are never lost."""
 
     def __init__(self, transducer: Transducer):
         super().__init__()
-        self.encode = transducer.encode
+        self.encode, self.older = transducer.encode, {}
 
     def __missing__(self, piece: str) -> bytes:
-        packed = np.array(self.encode(piece.encode()), dtype=np.int32).tobytes()
+        packed = self.older.get(piece)
+        if packed is None:
+            ids = self.encode(piece.encode())
+            packed = struct.pack(f"<{len(ids)}i", *ids)
         if len(piece) <= LONGEST_KEPT:
             if len(self) >= MOST_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = packed
         return packed
@@ -210,6 +221,8 @@ def cutter(pattern: str) -> Callable[[str], list[str]]:
 
 @lru_cache(maxsize=2)
 def _pieces(vocabulary: bytes) -> _Pieces:
+    # the states are many small objects that stay: looking through them for garbage often is wasted time
+    gc.set_threshold(200_000, 20, 50)
     return _Pieces(Transducer(parse_ranks(vocabulary)))
 
 
@@ -240,6 +253,14 @@ def utf8_step(pending: bytes, byte: int) -> tuple[bytes, bytes, int]:
     return (b"", one, int(length == 0)) if length < 2 else (one, b"", 0)
 
 
+def _well_formed(data: bytes) -> bool:
+    try:
+        data.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
 class StreamDecoder:
     """Token ids to bytes that end at whole characters; feed it any part of a stream at a time.
 
@@ -248,6 +269,11 @@ class StreamDecoder:
     def __init__(self, tokens: dict[int, bytes]):
         self.tokens = tokens
         self.states: dict[bytes, dict] = {b"": {}}
+        # steps that lead from the first state back to it, and for which tokens there is none
+        closed = [token for token, data in tokens.items() if _well_formed(data)]
+        self.closed = [tokens.get(token) for token in range(max(tokens, default=-1) + 1)]
+        self.open = np.ones(len(self.closed), dtype=bool)
+        self.open[closed] = False
         self.reset()
 
     def reset(self) -> None:
@@ -266,7 +292,25 @@ class StreamDecoder:
         self.states.setdefault(pending, {})[token] = step
         return step
 
-    def feed(self, ids: list[int]) -> bytes:
+    def feed(self, ids: np.ndarray) -> bytes:
+        """Runs of tokens that keep the machine in its first state are looked up; the others are stepped through."""
+        out, at, n = [], 0, len(ids)
+        stops = np.flatnonzero(self.open[ids]).tolist()
+        stops.append(n)
+        place, known = 0, self.closed.__getitem__
+        while at < n:
+            if not self.pending:
+                while stops[place] < at:
+                    place += 1
+                if stops[place] > at:
+                    out.extend(map(known, ids[at:stops[place]].tolist()))
+                    at = stops[place]
+                    continue
+            out.append(self._walk(ids[at:at + 1].tolist()))
+            at += 1
+        return b"".join(out)
+
+    def _walk(self, ids: list[int]) -> bytes:
         out, state = [], self.pending
         steps = self.states.setdefault(state, {})
         for token in ids:
@@ -291,22 +335,40 @@ def _decoder(vocabulary: bytes) -> StreamDecoder:
     return StreamDecoder({rank: token for token, rank in parse_ranks(vocabulary).items()})
 
 
-def encode_bpe(docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id",
-               text_column: str = "text") -> DataFrame:
+def _decode_all(decoder: StreamDecoder, columns: list[np.ndarray]) -> list[pa.Array]:
+    """``decoded`` and ``ill_formed`` for each array of ids."""
+    decoded, bad = [], []
+    for ids in columns:
+        decoder.reset()
+        decoded.append(decoder.feed(ids) + decoder.finish())
+        bad.append(decoder.bad)
+    return [pa.array(decoded, pa.binary()), pa.array(bad, pa.int32())]
+
+
+_DECODED = [T.StructField("decoded", T.BinaryType()), T.StructField("ill_formed", T.IntegerType())]
+
+
+def encode_bpe(docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text",
+               decoded: bool = False) -> DataFrame:
     """``id_column`` and ``token_ids`` (array of int), a row for each row of ``docs``.
 
     Each match of ``pattern`` is encoded by itself. A null or empty text gives an empty array, repeated rows stay, other
-    columns are left out, and malformed bytes count as U+FFFD. Narrow: nothing is shuffled. A task holds the
-    vocabulary, at most ``MOST_STATES`` states and ``MOST_PIECES`` pieces, and a few MB of text at a time."""
+    columns are left out, and malformed bytes count as U+FFFD. ``decoded`` adds what ``decode_bpe`` would make of the
+    ids, in the same pass. Narrow: nothing is shuffled. A task holds the vocabulary, at most ``MOST_STATES`` states and
+    twice ``MOST_PIECES`` pieces, and a few MB of text at a time."""
     vocabulary = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    schema = T.StructType([docs.schema[id_column], T.StructField("token_ids", T.ArrayType(T.IntegerType(), False))])
+    fields = [docs.schema[id_column], T.StructField("token_ids", T.ArrayType(T.IntegerType(), False))]
+    schema = T.StructType(fields + _DECODED if decoded else fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, cut = _pieces(vocabulary.value), cutter(pattern)
         for batch in slices(batches, text_column):
             packed = [b"".join(map(pieces.__getitem__, cut(text(data)))) for data in raw(batch.column(text_column))]
             ids = lists(np.frombuffer(b"".join(packed), dtype=np.int32), [len(one) // 4 for one in packed])
-            yield pa.RecordBatch.from_arrays([batch.column(id_column), ids], names=[id_column, "token_ids"])
+            arrays = [batch.column(id_column), ids]
+            if decoded:
+                arrays += _decode_all(_decoder(vocabulary.value), [np.frombuffer(one, dtype=np.int32) for one in packed])
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return docs.select(id_column, text_column).mapInArrow(run, schema)
 
@@ -316,19 +378,15 @@ def decode_bpe(encoded: DataFrame, ranks_path: str, id_column: str = "doc_id") -
     ``encode_bpe``. A null array decodes to nothing; an id outside the vocabulary is an error."""
     vocabulary = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
     kept = encoded.select(id_column, "token_ids")
-    schema = T.StructType([*kept.schema, T.StructField("decoded", T.BinaryType()), T.StructField("ill_formed", T.IntegerType())])
+    schema = T.StructType([*kept.schema, *_DECODED])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = _decoder(vocabulary.value)
+        nothing = np.zeros(0, dtype=np.int32)
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
-                decoded, bad = [], []
-                for ids in batch.column("token_ids"):
-                    decoder.reset()
-                    decoded.append(decoder.feed(ids.values.to_numpy().tolist() if ids.is_valid else []) + decoder.finish())
-                    bad.append(decoder.bad)
-                arrays = [*batch.columns, pa.array(decoded, pa.binary()), pa.array(bad, pa.int32())]
+                ids = [x.values.to_numpy() if x.is_valid else nothing for x in batch.column("token_ids")]
+                arrays = [*batch.columns, *_decode_all(_decoder(vocabulary.value), ids)]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return kept.mapInArrow(run, schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tableprep.llm.ann import nearest_neighbours
-from tableprep.llm.bpe import decode_bpe, encode_bpe
+from tableprep.llm.bpe import encode_bpe
 from tableprep.llm.chat import read_back, render, tokenise
 from tableprep.llm.components import stored
 from tableprep.llm.decontaminate import find_leaks
@@ -41,8 +41,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
-    encoded = encode_bpe(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return decode_bpe(encoded, path).select(
+    return encode_bpe(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
