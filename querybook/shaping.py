@@ -269,7 +269,7 @@ for _name, _text in SQL_TEXTS.items():
 
 FILE_SQL = """
     select o_orderpriority, count(*) as n, min(o_orderdate) as first_day
-    from orders where o_orderstatus <> 'P' group by o_orderpriority"""
+    from orders group by o_orderpriority"""
 
 
 @query(FILE_SQL)

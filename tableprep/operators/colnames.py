@@ -21,8 +21,10 @@ def common_prefix(names: Sequence[str]) -> str:
 
 
 def strip_common_prefix(frame: DataFrame) -> DataFrame:
-    """Drop the prefix all column names share, up to its last dot; names without one stay as they are."""
-    return frame.toDF(*[name[len(common_prefix(frame.columns)):] for name in frame.columns])
+    """Drop the prefix all column names share, up to its last dot; names without one stay as they are, and so do all
+    when a name would be left empty."""
+    prefix = common_prefix(frame.columns)
+    return frame if prefix in frame.columns else frame.toDF(*[name[len(prefix):] for name in frame.columns])
 
 
 def is_reserved(name: Column) -> Column:
@@ -47,6 +49,14 @@ def reserved_word_columns(frame: DataFrame) -> DataFrame:
 
 
 def safe_column_names(frame: DataFrame, suffix: str = "_") -> DataFrame:
-    """``frame`` with ``suffix`` added to every column named like a keyword."""
+    """``frame`` with ``suffix`` added to every column named like a keyword, more than once if the name is taken."""
     words = {*NON_RESERVED_KEYWORDS, *RESERVED_KEYWORDS}
-    return frame.toDF(*[c + suffix if c.upper() in words else c for c in frame.columns])
+    taken, names = {c.lower() for c in frame.columns}, []
+    for name in frame.columns:
+        if name.upper() in words:
+            name += suffix
+            while name.lower() in taken:
+                name += suffix
+            taken.add(name.lower())
+        names.append(name)
+    return frame.toDF(*names)

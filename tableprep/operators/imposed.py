@@ -90,7 +90,7 @@ def _imposed_column(
             value = round_money(value if source.dataType == money_type else value.try_cast(money_type))
         else:
             value = round_money(value, money_type)
-        return value.alias(name)
+        return value.cast(money_type).alias(name)  # rounding changes the precision of a decimal
     if is_date:
         return (typed_null(rules.date_type) if value is None else value.try_cast(rules.date_type)).alias(name)
     if key in codes:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tableprep.functions.columns import quoted, typed_null
+from tableprep.functions.types import resolve_type
 from tableprep.plans.projection import by_lower_name, union_all
 
 
@@ -32,12 +33,13 @@ def overlay_tables(layers: Sequence[DataFrame], keys: Sequence[str]) -> DataFram
     """Tables laid over each other by ``keys``, the first on top; a null lets the value below show through.
 
     One shuffle however many layers there are: rows are ranked, put in one bag and the best value of each column is
-    taken per key.
+    taken per key. Columns and keys whose types differ between layers get the type that holds them all.
     """
-    fields = {}
+    seen: dict[str, list[T.StructField]] = {}
     for layer in layers:
         for name, field in by_lower_name(layer.schema).items():
-            fields.setdefault(name, field)
+            seen.setdefault(name, []).append(field)
+    fields = {name: T.StructField(found[0].name, resolve_type([f.dataType for f in found])) for name, found in seen.items()}
     lowered = {k.lower() for k in keys}
     values = [f for name, f in fields.items() if name not in lowered]
 
@@ -46,10 +48,10 @@ def overlay_tables(layers: Sequence[DataFrame], keys: Sequence[str]) -> DataFram
 
         def value(field: T.StructField) -> Column:
             found = present.get(field.name.lower())
-            return typed_null(field.dataType) if found is None else quoted(found.name)
+            return typed_null(field.dataType) if found is None else quoted(found.name).cast(field.dataType)
 
         return layer.select(
-            *[quoted(present[k.lower()].name).alias(k) for k in keys], *[value(f).alias(f.name) for f in values],
+            *[value(fields[k.lower()]).alias(k) for k in keys], *[value(f).alias(f.name) for f in values],
             F.lit(rank).alias("__rank"),
         )
 

@@ -47,8 +47,10 @@ def _partial_counts(
                 group = np.unique(group, return_inverse=True)[1]
             member = np.unique(group, return_index=True)[1]
             texts = step.column(len(by))
-            points = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), dtype=np.uint32)
-            ends = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+            # a malformed byte counts as one U+FFFD
+            read = [value.decode("utf-8", "replace") for value in texts.cast(pa.binary()).to_pylist()]
+            points = np.frombuffer("".join(read).encode("utf-32-le"), dtype=np.uint32)
+            ends = np.cumsum([len(value) for value in read], dtype=np.int64)
             begins = np.concatenate([[0], ends[:-1]])
             counted, high = np.zeros(len(member) * low, dtype=np.int64), []
             for start in range(0, len(points), step_bytes):

@@ -141,14 +141,16 @@ def _scan_groups(
     """Instances that one multi-path scan can read together, with the schema to read them under.
 
     The Parquet reader widens integers and reals and fills absent columns with null by itself, so drift of that kind
-    needs a single scan however many tables there are. Otherwise tables of equal schema share a scan.
+    needs a single scan however many tables there are. Otherwise tables of equal schema share a scan. Names must be
+    spelled alike for either, since a case-sensitive session would not find them in the files.
     """
     resolved = by_lower_name(target)
     missing_default = any(name not in by_lower_name(i.schema) for i in instances for name in defaults)
     widening = all(
         reader_widens(f.dataType, resolved[f.name.lower()].dataType) for i in instances for f in i.schema.fields
     )
-    if widening and not missing_default and not any(i.partitioned for i in instances):
+    one_spelling = all(f.name == resolved[f.name.lower()].name for i in instances for f in i.schema.fields)
+    if widening and one_spelling and not missing_default and not any(i.partitioned for i in instances):
         return [(target, list(instances))]
     return _equal_layouts(instances)
 
@@ -157,7 +159,7 @@ def _equal_layouts(instances: Sequence[TableInstance]) -> list[tuple[T.StructTyp
     """Instances of equal schema together; those partitioned on disk stay apart, as their roots differ."""
     groups: dict[object, tuple[T.StructType, list[TableInstance]]] = {}
     for number, instance in enumerate(instances):
-        layout = tuple((f.name.lower(), f.dataType.simpleString()) for f in instance.schema.fields)
+        layout = tuple((f.name, f.dataType.simpleString()) for f in instance.schema.fields)
         key = number if instance.partitioned else layout
         groups.setdefault(key, (instance.schema, []))[1].append(instance)
     return list(groups.values())

@@ -41,15 +41,15 @@ def dense_row_id(
 
     Rows are range-partitioned by ``keys``, sorted within partitions and written once (to ``location``, or to the
     shared scratch folder). A row's id is its position in its file plus the rows of the files before it, so lost
-    executors cannot change it. Runs of equal keys are split between tasks by the partition each row came from, and
-    numbered in any order. A column already called ``name`` is numbered anew in its place, else the ids come last.
+    executors cannot change it. Runs of equal keys are split between tasks by each row's place in the input, and numbered
+    in that order. A column already called ``name`` is numbered anew in its place, else the ids come last.
     ``num_partitions`` sets the number of key ranges; for a frame that is not a plain scan it defaults to the shuffle
     partitions of the session.
     """
     spark = frame.sparkSession
     order = [quoted(k) for k in keys]
     location = location or scratch_dir(spark, "rowid") + "/rows"
-    tied = frame.withColumn("__origin", F.spark_partition_id())
+    tied = frame.withColumn("__origin", F.monotonically_increasing_id())
     bounds = [*order, F.col("__origin")]
     ranges = num_partitions or _ranges(frame)
     ranged = tied.repartitionByRange(*bounds) if ranges is None else tied.repartitionByRange(ranges, *bounds)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -89,25 +90,39 @@ def compact(
     Many small files are merged by joining scan tasks, without a shuffle; only a table with fewer tasks than files
     wanted is spread out. With ``by``, the columns the table is partitioned by on disk, every directory gets its own
     number of files, all in one job: rows are dealt out by their place in their file, so a directory with very many
-    rows is shared by many tasks.
+    rows is shared by many tasks. Their values are written back as they stand in the paths. Files at any depth and of
+    any name are taken; a table partitioned on disk is refused without ``by``.
     """
-    plan = compaction_plan(spark, source, target_bytes)
+    table = read_parquet(spark, source, recursiveFileLookup=True)
+    path = _one_slash(source_path())
+    # sizes come from the scan itself, so every file it reads is planned, whatever its name or depth
+    files = table.groupBy(path.alias("path")).agg(F.first("_metadata.file_size").alias("length"))
+    if not by and not files.where(F.col("path").rlike(r"/[^/=]+=[^/]*/[^/]+$")).isEmpty():
+        raise WriteError(f"{source} is partitioned on disk; name its columns in by")
+    plan = files.groupBy(_directory(F.col("path")).alias("__directory")).agg(
+        files_for(F.sum("length"), target_bytes).alias("recommended"))
     wanted = plan.agg(F.coalesce(F.sum("recommended"), F.lit(1))).first()[0]
-    table = read_parquet(spark, source)
     if not by:
         tasks = table.rdd.getNumPartitions()
         write_parquet(table.coalesce(wanted) if tasks >= wanted else table.repartition(wanted), target, mode)
         return wanted
     few = plan.count() <= BROADCAST_DIRECTORIES
-    plan = plan.select(_one_slash(F.col("directory")).alias("__directory"), "recommended")
     plan = F.broadcast(plan) if few else plan
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    names = [_value_in_path(path, name).alias(name) for name in by]
     dealt = (
-        table.select("*", _one_slash(_directory(source_path())).alias("__directory"), place.alias("__place"))
-        .join(plan, "__directory")
-        .withColumn("__file", F.pmod("__place", "recommended"))
+        table.select("*", *names, _directory(path).alias("__directory"), place.alias("__place"))
+        .join(plan, "__directory", "left")
+        .withColumn("__file", F.pmod("__place", F.coalesce("recommended", F.raise_error(F.lit("a directory without a plan")))))
         .repartition(wanted, "__directory", "__file")
     )
     with guard(WriteError, f"cannot write parquet to {target}"):
-        dealt.select(*[quoted(c) for c in table.columns]).write.mode(mode).partitionBy(*by).parquet(target)
+        dealt.select(*[quoted(c) for c in [*table.columns, *by]]).write.mode(mode).partitionBy(*by).parquet(target)
     return wanted
+
+
+def _value_in_path(path: Column, name: str) -> Column:
+    """The text after ``name=`` in a path, as it stands there: ``01`` stays ``01``."""
+    value = F.regexp_extract(path, "/" + re.escape(name) + "=([^/]*)/", 1)
+    plain = F.when(value.contains("%"), F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))).otherwise(value)
+    return F.when(value != "__HIVE_DEFAULT_PARTITION__", plain)

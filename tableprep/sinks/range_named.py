@@ -46,6 +46,9 @@ def rename_parts(spark: SparkSession, path: str) -> list[str]:
 
 
 def write_range_named(frame: DataFrame, path: str, files: int | None = None, mode: str = ERROR) -> list[str]:
-    """Write Parquet, in ``files`` files when given, under readable names; returns the names."""
+    """Write Parquet, in ``files`` files when given, under readable names; returns the names. Names count the files of
+    the whole folder, so nothing can be appended to one."""
+    if mode == "append":
+        raise WriteError(f"cannot append to {path}: its file names count all files")
     write_parquet(frame if files is None else frame.repartition(files), path, mode)
     return rename_parts(frame.sparkSession, path)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tableprep.errors import READ_FILE_CODE, VIEW_FROM_PARQUET_CODE, EmptyInputError, ReadError, guard
-from tableprep.storage import iter_children, list_children
+from tableprep.storage import hadoop_path, iter_children, list_children
 
 FILE_COLUMNS = ("path", "modificationTime", "length")
 
@@ -16,7 +18,15 @@ def file_catalog(spark: SparkSession, directory: str, glob: str | None = None, r
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     with guard(ReadError, f"cannot list {directory}", READ_FILE_CODE):
-        return reader.load(directory).select(*FILE_COLUMNS)
+        found = reader.load(directory).select(*FILE_COLUMNS)
+        if recursive or any(c in directory for c in "*?[{"):
+            return found
+        fs, hadoop = hadoop_path(spark, directory)
+        whole = fs.makeQualified(hadoop).toString()
+    # Spark also lists the files of partitions such as k=v; only those right here are asked for
+    parent = F.regexp_replace(F.regexp_replace("path", r"/[^/]*$", ""), r"^([A-Za-z0-9]+):/+", "$1:/")
+    here = re.sub(r"^([A-Za-z0-9]+):/+", r"\1:/", whole).rstrip("/")
+    return found.where((parent == here) | (F.col("path").endswith("/" + here.rsplit("/", 1)[-1])))
 
 
 def file_catalog_recursive(spark: SparkSession, directory: str, glob: str | None = None) -> DataFrame:
@@ -38,16 +48,14 @@ def list_databases(spark: SparkSession) -> DataFrame:
 
 
 def discover_tables(spark: SparkSession, path: str) -> list[str]:
-    """Paths of the tables under ``path``: its child directories, or ``path`` itself when it holds Parquet files.
-
-    The first Parquet file settles it, so a table of very many files is not listed to its end.
-    """
-    tables = []
+    """Paths of the tables under ``path``: its child directories and any Parquet files beside them, or ``path`` itself
+    when it holds Parquet files alone."""
+    directories, files = [], []
     for entry in iter_children(spark, path):
         if entry.is_dir:
-            tables.append(entry.path)
+            directories.append(entry.path)
         elif entry.name.endswith("parquet"):
-            return [path]
-    if not tables:
+            files.append(entry.path)
+    if not directories and not files:
         raise EmptyInputError(f"no tables under {path}", VIEW_FROM_PARQUET_CODE)
-    return sorted(tables)
+    return sorted(directories + files) if directories else [path]

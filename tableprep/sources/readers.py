@@ -61,9 +61,10 @@ def read_header_csv(spark: SparkSession, *paths: str, header: bool = True, code:
 
     When the last row of a file is blank in every field it is dropped; blank rows elsewhere stay. A file with line
     breaks inside quotes is always read by one task from start to end, so a blank row can be held back there until the
-    next row of its file shows that it was not the last: one pass, no shuffle, at most one row held.
+    next row of its file shows that it was not the last: one pass, no shuffle, at most one row held. A file whose
+    header names other columns, or the same in another order, is an error when it is read.
     """
-    rows = read_csv(spark, *paths, code=code, header=header, multiLine=True, quote='"', escape='"')
+    rows = read_csv(spark, *paths, code=code, header=header, multiLine=True, quote='"', escape='"', enforceSchema=False)
     names = rows.columns
     blank = F.lit(True)
     for name in names:
