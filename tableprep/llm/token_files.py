@@ -8,6 +8,7 @@ Any id is read by itself from a few places of the file; nothing is decoded block
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -91,23 +92,72 @@ class TokenFile:
         return out
 
 
-class _Words(dict):
-    """Packed ids of words met before. The tokenizer drops white space and never looks across it, so words between
-    blanks can be encoded one by one."""
+#: Fixed patterns: words of plain Latin letters and ASCII signs, and how the tokenizer cuts them once their letters are
+#: small ones.
+PLAIN = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\x09-\x0D\x20a-z0-9ß-öø-ÿ]+")
+WORD_END = "</w>"
+LOT = 200
+
+
+class _Words:
+    """Packed ids of words met before (``known``); when there are too many, only those met again stay.
+
+    The tokenizer drops white space and never looks across it, so words between blanks can be encoded one by one. Plain
+    words are put together from ``pieces``, which repeat more often than words do and are encoded many at a time; the
+    ids that end a piece say where to cut. Other words, and those that may hold a special token, go to the tokenizer
+    whole."""
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        # pieces are cut and in small letters already
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+
+    def _whole(self, strings: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
+        return [np.array(one.ids, dtype=np.uint32).tobytes() for one in found]
+
+    def _joined(self, pieces: list[str]) -> list[bytes]:
+        ids = np.array(self.plain.encode(" ".join(pieces), add_special_tokens=False).ids, dtype=np.uint32)
+        cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(cuts) != len(pieces):  # a vocabulary without marks of word ends
+            return self._whole(pieces)
+        packed = ids.tobytes()
+        return [packed[start:end] for start, end in zip([0, *cuts], cuts, strict=False)]
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self) + len(words) > MOST_WORDS:
-            self.clear()
-        new = [word for word in words if word not in self]
-        for word, found in zip(new, self.tokenizer.encode_batch_fast([text(w) for w in new], add_special_tokens=False), strict=True):
-            self[word] = np.array(found.ids, dtype=np.uint32).tobytes()
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > MOST_WORDS:
+            self.older, self.known, new = self.known, {}, words
+        kept = [word for word in new if word in self.older]
+        self.known.update(zip(kept, map(self.older.__getitem__, kept), strict=True))
+        if len(self.pieces) > MOST_WORDS:
+            self.pieces.clear()
+        plain, cuts, other = [], [], []
+        for word in new.difference(kept):
+            string = text(word)
+            if "<|" not in string and PLAIN.fullmatch(string):
+                plain.append(word), cuts.append(PIECES.findall(string.lower()))
+            else:
+                other.append(word)
+        unknown = list(set().union(*cuts).difference(self.pieces))
+        for first in range(0, len(unknown), LOT):
+            lot = unknown[first:first + LOT]
+            self.pieces.update(zip(lot, self._joined(lot), strict=True))
+        ids = self.pieces.__getitem__
+        self.known.update(zip(plain, [ids(one[0]) if len(one) == 1 else b"".join(map(ids, one)) for one in cuts], strict=True))
+        self.known.update(zip(other, self._whole([text(word) for word in other]), strict=True))
 
 
 @lru_cache(maxsize=2)
@@ -140,7 +190,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
             split = [data.split() for data in raw(batch.column(text_column))]
             words.learn({word for one in split for word in one})
             for doc_id, one in zip(batch.column(id_column).to_pylist(), split, strict=True):
-                ids = b"".join([*map(words.__getitem__, one), end])
+                ids = b"".join([*map(words.known.__getitem__, one), end])
                 if held[0] and size + len(ids) // 4 > ids_per_file:
                     yield file()
                     held, size, number = ([], [], []), 0, number + 1
