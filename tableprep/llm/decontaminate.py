@@ -129,8 +129,8 @@ WINDOWS = T.StructType([
 
 
 def template_windows(docs: DataFrame, id_column: str, text_column: str, window: int = WINDOW, wanted=None) -> DataFrame:
-    """``id`` and, for each different window of the row's template, its hash, first place, and the words that stand in
-    placeholders with their places. Without ``wanted`` the rows are benchmark items, and the first window of one that
+    """``id`` and, for each window of the row's template, its hash, place, and the words that stand in placeholders with
+    their places. Without ``wanted`` the rows are benchmark items, and the first window of one that
     begins with a capital letter comes twice, with and without a name there. ``wanted``: a broadcast bit field of ``2 ** FILTER_BITS`` bits; windows it does not
     have are left out, and those it has by chance the join drops."""
     schema = T.StructType([T.StructField("id", docs.schema[id_column].dataType), *WINDOWS])
@@ -144,22 +144,19 @@ def template_windows(docs: DataFrame, id_column: str, text_column: str, window:
             for row, data in enumerate(raw(batch.column(text_column))):
                 tokens, codes, written = template(data, words)
                 hashes = window_hashes(codes, written, window)
-                places, seen = range(len(hashes)), set()
+                places = range(len(hashes))
                 if field is not None:
                     places = np.flatnonzero(field[_bit(hashes, False)])
                     places = places[field[_bit(hashes[places], True)]].tolist()
 
-                def add(place: int, value: np.ndarray, row=row, tokens=tokens, seen=seen, written=written, codes=codes) -> None:
+                def add(place: int, value: np.ndarray, row=row, tokens=tokens, written=written, codes=codes) -> None:
                     slot = np.flatnonzero(codes[place:place + window] != written[place:place + window]).tolist()
-                    values = tuple(core(text(tokens[place + i])) for i in slot)
-                    if (int(value[0]), values) not in seen:
-                        seen.add((int(value[0]), values))
-                        rows.append(row)
-                        out["window"].append(int(value.view(np.int64)[0]))
-                        out["at"].append(place)
-                        out["slots"].append(list(values))
-                        out["places"].append([place + i for i in slot])
-                        out["bits"].append([int(_bit(value, x)[0]) for x in (False, True)] if field is None else [])
+                    rows.append(row)
+                    out["window"].append(int(value.view(np.int64)[0]))
+                    out["at"].append(place)
+                    out["slots"].append([core(text(tokens[place + i])) for i in slot])
+                    out["places"].append([place + i for i in slot])
+                    out["bits"].append([int(_bit(value, x)[0]) for x in (False, True)] if field is None else [])
 
                 for place in places:
                     add(place, hashes[place:place + 1])
@@ -189,22 +186,24 @@ def _field_of(windows: DataFrame) -> bytes:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", item_column: str = "item_id",
                text_column: str = "text", window: int = WINDOW, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """Pairs of a document and a benchmark item it repeats: ``id_column``, ``item_column``, ``n_windows`` of the item,
-    how many of them are ``matched``, ``coverage``, and ``kind`` (``copy``, or ``reparameterised`` if other numbers,
-    names or units stand in the same places).
+    how many of them are ``matched``, ``coverage``, ``kind`` (``copy``, or ``reparameterised`` if a window is met only
+    with other numbers, names or units in its places), and ``same_items`` (sorted ids of all items the row speaks for).
 
     A pair counts if at least ``min_coverage`` of the item's different template windows of ``window`` words stand in
     the document, at places where the same item value always meets the same document value. Items that share a whole
-    template are one, named by the smallest id. Items with fewer words than a window, and null or empty texts, match
+    template and its values are one, named by the smallest id; those of other values are searched each for itself. Items with fewer words than a window, and null or empty texts, match
     nothing. Rows repeated under one id count once. Empty tables give no rows. Ids may be null."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_column).alias("item"), F.col(text_column).alias("body"))
     found = stored(template_windows(items, "item", "body", window).withColumnRenamed("id", "item"), "benchmark")
     first = F.struct("at", "slots", "places")
     unique = found.groupBy("item", "window").agg(F.min(first).alias("f")).select("item", "window", "f.*")
-    whole = unique.groupBy("item").agg(
-        F.count_distinct("at").alias("n_windows"), F.xxhash64(F.array_sort(F.collect_list("window"))).alias("whole"))
-    named = whole.groupBy("whole", "n_windows").agg(F.min("item").alias("item")).select("item", "n_windows")
-    asked = unique.join(named, unique["item"].eqNullSafe(named["item"])).select(
+    every = F.xxhash64(F.array_sort(F.collect_set(F.struct("window", "at", "slots", "places")))).alias("whole")
+    whole = found.groupBy("item").agg(every).withColumnRenamed("item", "of").join(
+        unique.groupBy("item").agg(F.count_distinct("at").alias("n_windows")), F.col("of").eqNullSafe(F.col("item"))).drop("of")
+    named = whole.groupBy("whole", "n_windows").agg(
+        F.min("item").alias("item"), F.array_sort(F.collect_list("item")).alias("same_items"))
+    asked = unique.join(named.select("item", "n_windows"), unique["item"].eqNullSafe(named["item"])).select(
         named["item"], "n_windows", "window", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"),
         F.col("places").alias("item_places"))
     wanted = spark.sparkContext.broadcast(_field_of(found))
@@ -212,7 +211,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     met = in_docs.join(asked, "window")
     slots = F.arrays_zip(F.col("item_places").alias("place"), F.col("item_slots").alias("asked"), F.col("slots").alias("given"))
     runs = met.groupBy("id", "item", "n_windows", (F.col("at") - F.col("item_at")).alias("shift")).agg(
-        F.collect_set("item_at").alias("hit"), F.array_distinct(F.flatten(F.collect_list(slots))).alias("slots"))
+        F.collect_set("item_at").alias("hit"), F.collect_set(F.when(F.col("item_slots") == F.col("slots"), F.col("item_at"))).alias("same"),
+        F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"))
 
     def kinds(of) -> F.Column:
         return F.size(F.array_distinct(F.transform("slots", of)))
@@ -222,9 +222,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
         & (kinds(lambda s: s["asked"]) == kinds(lambda s: F.struct(s["asked"], s["given"])))
     )
     pairs = runs.where(consistent).groupBy("id", "item", "n_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("matched"),
-        F.max(F.exists("slots", lambda s: s["asked"] != s["given"])).alias("other"))
-    return pairs.withColumn("coverage", F.col("matched") / F.col("n_windows")).where(F.col("coverage") >= min_coverage).select(
+        F.array_distinct(F.flatten(F.collect_set("hit"))).alias("hit"), F.flatten(F.collect_set("same")).alias("same"))
+    coverage = F.size("hit") / F.col("n_windows")
+    good = pairs.withColumn("coverage", coverage).where(F.col("coverage") >= min_coverage)
+    members = named.select(F.col("item").alias("member_of"), "same_items")
+    return good.join(members, F.col("item").eqNullSafe(F.col("member_of"))).select(
         F.col("id").alias(id_column), F.col("item").alias(item_column), F.col("n_windows").cast("long"),
-        F.col("matched").cast("long"), "coverage",
-        F.when(F.col("other"), "reparameterised").otherwise("copy").alias("kind"))
+        F.size("hit").cast("long").alias("matched"), "coverage",
+        F.when(F.size(F.array_except("hit", "same")) > 0, "reparameterised").otherwise("copy").alias("kind"), "same_items")

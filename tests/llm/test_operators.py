@@ -290,3 +290,17 @@ def test_pipeline(spark, docs, nothing):
     assert single.count() == groups.select("component_id").distinct().count()
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, rows.limit(0), SF_DIR).count() == 0
+
+
+def test_leaks_of_items_with_one_template(spark, docs):
+    def sold(a, b, who):
+        return f"On market day {who} sold {a} red apples and {b} green pears to the old baker of the town before noon"
+
+    items = [sold(3, 3, "Anna"), sold(4, 5, "Anna"), sold(4, 5, "Anna"), sold(6, 7, "Maria")]
+    bench = spark.createDataFrame(list(enumerate(items, 1)), "item_id long, text string")
+    rows = docs([(1, items[0]), (2, items[1]), (3, items[3]), (4, f"{items[1]}. {items[0]}."), (5, sold(8, 8, "Anna"))])
+    found = decontaminate.find_leaks(rows, bench).collect()
+    kinds = {(r.doc_id, r.item_id): r.kind for r in found}
+    assert {k for k, v in kinds.items() if v == "copy"} == {(1, 1), (2, 2), (3, 4), (4, 1), (4, 2)}
+    assert (2, 1) not in kinds and (5, 1) in kinds and kinds[1, 2] == kinds[5, 2] == "reparameterised"
+    assert {r.item_id: r.same_items for r in found} == {1: [1], 2: [2, 3], 4: [4]}
