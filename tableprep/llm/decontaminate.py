@@ -1,5 +1,6 @@
 """Benchmark decontamination by templates: numbers, names and units become placeholders, windows of the template are
-joined by hash, and what stood in the placeholders must map consistently from the item to the document.
+joined by hash, and what stood in the placeholders must map consistently from the item to the document. Windows are also
+joined as written, in small letters and without punctuation, since both decide what looks like a name.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ NUMBER_WORDS = frozenset(
 )
 NUMBER = re.compile(r"[$€£+-]?\d[\d.,:/]*(?:st|nd|rd|th|%)?")
 QUANTITY = re.compile(r"[$€£+-]?\d[\d.,:/]*([^\W\d_]+|%)")
+PUNCTUATION = re.compile(r"[^\w]+")
 CORE = re.compile(r"[\w$€£%+-](?:.*[\w%])?", re.DOTALL)
 
 _EMPTY, _NUMBER, _UNIT, _CAPITAL, _ENDS = 1, 2, 4, 8, 16
@@ -61,6 +63,14 @@ def core(word: str) -> str:
     return found.group() if found else ""
 
 
+def plain(inner: str) -> str:
+    """In small letters; without punctuation inside unless it is part of a number."""
+    lower = inner.casefold()  # ß in capitals is SS
+    if lower.isalnum() or NUMBER.fullmatch(inner) or QUANTITY.fullmatch(inner):
+        return lower
+    return PUNCTUATION.sub("", lower) or lower
+
+
 def describe(word: str) -> tuple[int, int]:
     inner = core(word)
     lower = inner.lower()
@@ -75,7 +85,7 @@ def describe(word: str) -> tuple[int, int]:
         flags |= _UNIT
     if word.rstrip("\"')]”’»")[-1:] in tuple(".!?:"):
         flags |= _ENDS
-    return xxhash.xxh64_intdigest(lower.encode(), 7), flags
+    return xxhash.xxh64_intdigest(plain(inner).encode(), 7), flags
 
 
 def template(data: bytes, words: Words) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -103,36 +113,44 @@ def template(data: bytes, words: Words) -> tuple[list[bytes], np.ndarray, np.nda
     return tokens, codes, written
 
 
-def window_hashes(codes: np.ndarray, written: np.ndarray, window: int) -> np.ndarray:
-    """A hash for each window; windows with fewer than two words outside placeholders are taken as written."""
+def window_hashes(codes: np.ndarray, written: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of each window as written and as template, and whether the template says more: it has a placeholder, and
+    two words or more outside."""
     n = len(codes) - window + 1
     if n <= 0:
-        return np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=bool)
     as_template, as_written = np.zeros(n, dtype=np.uint64), np.zeros(n, dtype=np.uint64)
     literal = np.zeros(n, dtype=np.int64)
     for j in range(window):
         as_template = as_template * _BASE + codes[j:j + n]
         literal += codes[j:j + n] == written[j:j + n]
         as_written = as_written * _BASE + written[j:j + n]
-    return np.where(literal < 2, as_written ^ _SECOND, as_template)
+    return as_written ^ _SECOND, as_template, (literal >= 2) & (literal < window)
 
 
 def _bit(hashes: np.ndarray, second: bool) -> np.ndarray:
-    return ((hashes * _SECOND if second else hashes) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    return ((np.multiply(hashes, _SECOND) if second else hashes) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _met(field: np.ndarray, hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
+    places = places[field[_bit(hashes[places], False)]]
+    return places[field[_bit(hashes[places], True)]]
 
 
 WINDOWS = T.StructType([
     T.StructField("window", T.LongType()), T.StructField("at", T.IntegerType()),
     T.StructField("slots", T.ArrayType(T.StringType())), T.StructField("places", T.ArrayType(T.IntegerType())),
+    T.StructField("as_written", T.BooleanType()), T.StructField("alike", T.IntegerType()),
     T.StructField("bits", T.ArrayType(T.LongType())),
 ])
 
 
 def template_windows(docs: DataFrame, id_column: str, text_column: str, window: int = WINDOW, wanted=None) -> DataFrame:
-    """``id`` and, for each window of the row's template, its hash, place, and the words that stand in placeholders with
-    their places. Without ``wanted`` the rows are benchmark items, and the first window of one that
-    begins with a capital letter comes twice, with and without a name there. ``wanted``: a broadcast bit field of ``2 ** FILTER_BITS`` bits; windows it does not
-    have are left out, and those it has by chance the join drops."""
+    """``id`` and, for each window of the row, its hash ``as_written`` and, where it has a placeholder, that of its
+    template, with its place and the words that stand in placeholders with theirs. Without ``wanted`` the rows are
+    benchmark items: ``alike`` is the first place of the same template, and the first window of one that begins with a
+    capital letter comes again with a name there. ``wanted``: a broadcast bit field of ``2 ** FILTER_BITS`` bits; windows
+    it does not have are left out, and those it has by chance the join drops."""
     schema = T.StructType([T.StructField("id", docs.schema[id_column].dataType), *WINDOWS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,26 +161,37 @@ def template_windows(docs: DataFrame, id_column: str, text_column: str, window:
             rows, out = [], {name: [] for name in WINDOWS.names}
             for row, data in enumerate(raw(batch.column(text_column))):
                 tokens, codes, written = template(data, words)
-                hashes = window_hashes(codes, written, window)
-                places = range(len(hashes))
+                hashes, templates, templated = window_hashes(codes, written, window)
+                places, slotted, alike = np.arange(len(hashes)), np.flatnonzero(templated), {}
                 if field is not None:
-                    places = np.flatnonzero(field[_bit(hashes, False)])
-                    places = places[field[_bit(hashes[places], True)]].tolist()
+                    places, slotted = _met(field, hashes, places), _met(field, templates, slotted)
 
-                def add(place: int, value: np.ndarray, row=row, tokens=tokens, written=written, codes=codes) -> None:
-                    slot = np.flatnonzero(codes[place:place + window] != written[place:place + window]).tolist()
+                def add(place: int, value: np.ndarray, as_written: bool, row=row, tokens=tokens, written=written, codes=codes) -> None:
+                    slot = []
+                    if field is None or not as_written:
+                        slot = np.flatnonzero(codes[place:place + window] != written[place:place + window]).tolist()
                     rows.append(row)
-                    out["window"].append(int(value.view(np.int64)[0]))
+                    out["window"].append(int(value.view(np.int64)))
                     out["at"].append(place)
-                    out["slots"].append([core(text(tokens[place + i])) for i in slot])
+                    out["slots"].append([plain(core(text(tokens[place + i]))) for i in slot])
                     out["places"].append([place + i for i in slot])
-                    out["bits"].append([int(_bit(value, x)[0]) for x in (False, True)] if field is None else [])
-
-                for place in places:
-                    add(place, hashes[place:place + 1])
+                    out["as_written"].append(as_written)
+                    out["alike"].append(alike.get(place, place))
+                    out["bits"].append([int(_bit(value, x)) for x in (False, True)] if field is None else [])
+
+                if field is None:
+                    first = {}
+                    for place, value in enumerate(np.where(templated, templates, hashes).tolist()):
+                        alike[place] = first.setdefault(value, place)
+                for place in places.tolist():
+                    add(place, hashes[place], True)
+                for place in slotted.tolist():
+                    add(place, templates[place], False)
                 if field is None and len(hashes) and words.flags[words[tokens[0]]] & _CAPITAL:
                     codes[0] = _NAME_CODE  # the item may stand within a sentence of a document
-                    add(0, window_hashes(codes[:window], written[:window], window))
+                    _, templates, templated = window_hashes(codes[:window], written[:window], window)
+                    if templated[0]:
+                        add(0, templates[0], False)
             if rows:
                 arrays = [pa.array(out[f.name], pa_type) for f, pa_type in zip(WINDOWS, _ARROW, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(id_column).take(pa.array(rows)), *arrays], names=schema.names)
@@ -170,7 +199,7 @@ def template_windows(docs: DataFrame, id_column: str, text_column: str, window:
     return docs.select(id_column, text_column).mapInArrow(run, schema)
 
 
-_ARROW = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+_ARROW = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.bool_(), pa.int32(), pa.list_(pa.int64())]
 
 
 def _field_of(windows: DataFrame) -> bytes:
@@ -190,28 +219,30 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     with other numbers, names or units in its places), and ``same_items`` (sorted ids of all items the row speaks for).
 
     A pair counts if at least ``min_coverage`` of the item's different template windows of ``window`` words stand in
-    the document, at places where the same item value always meets the same document value. Items that share a whole
+    the document, as template or as written but for capitals and punctuation, at places where the same item value
+    always meets the same document value. Items that share a whole
     template and its values are one, named by the smallest id; those of other values are searched each for itself. Items with fewer words than a window, and null or empty texts, match
     nothing. Rows repeated under one id count once. Empty tables give no rows. Ids may be null."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_column).alias("item"), F.col(text_column).alias("body"))
     found = stored(template_windows(items, "item", "body", window).withColumnRenamed("id", "item"), "benchmark")
     first = F.struct("at", "slots", "places")
-    unique = found.groupBy("item", "window").agg(F.min(first).alias("f")).select("item", "window", "f.*")
+    unique = found.groupBy("item", "window", "as_written", "alike").agg(F.min(first).alias("f")).select(
+        "item", "window", "as_written", "alike", "f.*")
     every = F.xxhash64(F.array_sort(F.collect_set(F.struct("window", "at", "slots", "places")))).alias("whole")
     whole = found.groupBy("item").agg(every).withColumnRenamed("item", "of").join(
-        unique.groupBy("item").agg(F.count_distinct("at").alias("n_windows")), F.col("of").eqNullSafe(F.col("item"))).drop("of")
+        unique.groupBy("item").agg(F.count_distinct("alike").alias("n_windows")), F.col("of").eqNullSafe(F.col("item"))).drop("of")
     named = whole.groupBy("whole", "n_windows").agg(
         F.min("item").alias("item"), F.array_sort(F.collect_list("item")).alias("same_items"))
     asked = unique.join(named.select("item", "n_windows"), unique["item"].eqNullSafe(named["item"])).select(
-        named["item"], "n_windows", "window", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"),
-        F.col("places").alias("item_places"))
+        named["item"], "n_windows", "window", "alike", F.col("as_written").alias("item_as_written"),
+        F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), F.col("places").alias("item_places"))
     wanted = spark.sparkContext.broadcast(_field_of(found))
     in_docs = template_windows(docs, id_column, text_column, window, wanted).select("id", "window", "at", "slots")
-    met = in_docs.join(asked, "window")
+    met = in_docs.join(asked, "window").withColumn("slots", F.when(F.col("item_as_written"), F.col("item_slots")).otherwise(F.col("slots")))
     slots = F.arrays_zip(F.col("item_places").alias("place"), F.col("item_slots").alias("asked"), F.col("slots").alias("given"))
     runs = met.groupBy("id", "item", "n_windows", (F.col("at") - F.col("item_at")).alias("shift")).agg(
-        F.collect_set("item_at").alias("hit"), F.collect_set(F.when(F.col("item_slots") == F.col("slots"), F.col("item_at"))).alias("same"),
+        F.collect_set("alike").alias("hit"), F.collect_set(F.when(F.col("item_slots") == F.col("slots"), F.col("alike"))).alias("same"),
         F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"))
 
     def kinds(of) -> F.Column:

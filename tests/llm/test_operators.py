@@ -304,3 +304,17 @@ def test_leaks_of_items_with_one_template(spark, docs):
     assert {k for k, v in kinds.items() if v == "copy"} == {(1, 1), (2, 2), (3, 4), (4, 1), (4, 2)}
     assert (2, 1) not in kinds and (5, 1) in kinds and kinds[1, 2] == kinds[5, 2] == "reparameterised"
     assert {r.item_id: r.same_items for r in found} == {1: [1], 2: [2, 3], 4: [4]}
+
+
+def test_leaks_without_capitals_or_punctuation(spark, docs):
+    bench = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+    items = [(r.item_id, r.text) for r in bench.collect()]
+    forms = [lambda t: t, lambda t: re.sub("[.!?:,]", "", t), str.lower, str.upper, str.title, lambda t: re.sub(r"[^\w\s]", "", t).title()]
+    rows = docs([(100 * item + i, form(body)) for item, body in items for i, form in enumerate(forms)])
+    found = {(r.doc_id, r.item_id): (r.kind, r.coverage) for r in decontaminate.find_leaks(rows, bench).collect()}
+    assert all(found.get((100 * item + i, item)) == ("copy", 1.0) for item, _ in items for i in range(len(forms)))
+    mixed = "Two trains of 3,500 tons met near Berlin. Anna's aunt, Maria Novak, saw (at last) Two engines: one old and one new"
+    bench = spark.createDataFrame([(1, mixed)], "item_id long, text string")
+    other = mixed.replace("Berlin", "Paris")
+    kinds = {r.doc_id: r.kind for r in decontaminate.find_leaks(docs([(1, mixed.title()), (2, other)]), bench).collect()}
+    assert kinds == {1: "copy", 2: "reparameterised"}
