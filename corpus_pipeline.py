@@ -18,35 +18,51 @@ RANKS = "byte_bpe_50k.tiktoken"
 UNIFORM_BITS = 8.0
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not among ``dropped``; rows without an id stay."""
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key, and its name: doc_id, which may be null, and 128 bits of hash of the text. It is never null,
+    and in order of doc_id with null last. Only rows of the same id and text share it, and what a stage decides."""
+    key = fresh(docs, "row_key")
+    made = F.struct(
+        F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"),
+        F.xxhash64(F.lit(1), "text").alias("more"))
+    return docs.withColumn(key, made), key
+
+
+def without(docs: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose key is not among ``dropped``."""
     gone = fresh(docs, "gone")
-    return docs.join(dropped.select(F.col("doc_id").alias(gone)), F.col("doc_id") == F.col(gone), "left_anti")
+    return docs.join(dropped.select(F.col(key).alias(gone)), F.col(key) == F.col(gone), "left_anti")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts that are null or have no letter, and those that no language's trees shorten below the 8 bits a byte
     of a blind guess."""
-    found = identify_language(docs, fit_context_trees(docs))
+    rows, key = keyed(docs)
+    found = identify_language(rows, fit_context_trees(docs), key)
     rejected = (F.col("lang_pred") == UNDETERMINED) | (F.col("bits_per_byte") >= UNIFORM_BITS)
-    return without(docs, found.where(rejected).select("doc_id").distinct())
+    return without(rows, key, found.where(rejected).select(key).distinct()).select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays, once if its row is repeated."""
-    found = stored(near_duplicates(docs), "groups")
-    kept = without(docs, found.where("doc_id <> component_id").select("doc_id"))
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    """Of each group of near duplicates the document with the smallest id stays, once if its row is repeated. Of rows
+    that share id and text but differ elsewhere, the one of smallest hash stays."""
+    rows, key = keyed(docs)
+    found = stored(near_duplicates(rows, key), "groups")
+    first = F.col(key) == F.col("component_id")
+    kept = without(rows, key, found.where(~first).select(key).distinct())
+    repeated = found.where(first).groupBy(key).count().where("count > 1").select(key)
     if repeated.isEmpty():
-        return kept
-    again = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return without(kept, repeated).unionByName(again)
+        return kept.select(*docs.columns)
+    again = kept.join(repeated, key, "left_semi").groupBy(key).agg(
+        F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")).select("row.*")
+    return without(kept, key, repeated).select(*docs.columns).unionByName(again)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that repeat a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return without(docs, find_leaks(docs, benchmark).select("doc_id").distinct())
+    rows, key = keyed(docs)
+    return without(rows, key, find_leaks(rows, benchmark, key).select(key).distinct()).select(*docs.columns)
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -318,3 +318,19 @@ def test_leaks_without_capitals_or_punctuation(spark, docs):
     other = mixed.replace("Berlin", "Paris")
     kinds = {r.doc_id: r.kind for r in decontaminate.find_leaks(docs([(1, mixed.title()), (2, other)]), bench).collect()}
     assert kinds == {1: "copy", 2: "reparameterised"}
+
+
+def test_pipeline_decides_by_row(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").first().text
+    one, two, three = (r.text for r in docs.where("n_chars > 500").orderBy("doc_id").limit(3).collect())
+    rows = [(7, one), (7, two), (7, two), (7, None), (7, item), (None, None), (None, item), (None, three), (None, one), (3, one), (4, "12")]
+    raw = spark.createDataFrame([(i, t, "en", "x", 0) for i, t in rows], docs.select("doc_id", "text", "lang", "source", "n_chars").schema)
+    both = lambda frame: sorted([(r.doc_id, r.text) for r in frame.select("doc_id", "text").collect()], key=repr)
+    lettered = [r for r in rows if r[1] not in (None, "12")]
+    known = corpus_pipeline.known_language(spark, raw, SF_DIR)
+    assert both(known) == sorted(lettered, key=repr) and known.columns == raw.columns
+    single = corpus_pipeline.one_of_each(spark, known, SF_DIR)
+    assert both(single) == sorted([(3, one), (7, two), (7, item), (None, three)], key=repr) and single.columns == raw.columns
+    clean = corpus_pipeline.uncontaminated(spark, known, SF_DIR)
+    assert both(clean) == sorted([r for r in lettered if r[1] != item], key=repr) and clean.columns == raw.columns
