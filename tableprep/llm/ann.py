@@ -120,7 +120,9 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col
     Vectors that are null, zero, of another length than most, or hold null or non-finite values take no part. Rows are
     dealt over shards of about ``SHARD`` by hash, each with its indexes; queries come in blocks to every shard, which
     returns its ``k`` best. Queries that find fewer than ``k`` within the radius are compared with all rows in a second
-    pass of the same form. Repeated rows are candidates as often as they stand there; an empty table gives no rows."""
+    pass of the same form. Repeated rows are candidates as often as they stand there, but ask once. An id with several
+    different vectors asks with all of them, and a row's distance is that from the nearest of them: the id gets ``k``
+    rows in all, each once. An empty table gives no rows."""
     spark = vectors.sparkSession
     id_type = vectors.schema[id_column].dataType
     codes = codes or fit_codes(vectors, id_column, vector_column)
@@ -135,7 +137,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col
     shards = max(1, -(-n // SHARD))
     dealt = fine.withColumn("shard", F.pmod(F.xxhash64("id", "v", F.monotonically_increasing_id()), F.lit(shards)).cast("int"))
     rows = stored(dealt.groupBy("shard").agg(F.collect_list(F.struct("id", "v")).alias("rows")), "shards")
-    asking = fine.where("asks").select("id", "v")
+    asking = fine.where("asks").select("id", "v").distinct()
     blocks = max(1, -(-asking.count() // QUERY_BLOCK))
     block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")
     queries = stored(asking.groupBy(block).agg(F.collect_list(F.struct("id", "v")).alias("queries")), "queries")
@@ -156,11 +158,15 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col
                     yield _best(asked.field("id").to_numpy(), _matrix(asked.field("v"), dimensions), model, index, ids, data)
 
         def _best(asked, vectors, model, index, ids, data) -> pa.RecordBatch:
-            found = ([], [], [])
-            for query, vector, code in zip(asked, vectors, model.of(vectors), strict=True):
-                near = index.within(code)
+            found, packed, order = ([], [], []), model.of(vectors), np.argsort(asked, kind="stable")
+            for own in np.split(order, np.flatnonzero(asked[order][1:] != asked[order][:-1]) + 1):
+                query, near = asked[own[0]], index.within(packed[own[0]])
+                for i in own[1:]:
+                    near = np.union1d(near, index.within(packed[i]))
                 near = near[ids[near] != query]
-                distance = np.sqrt(((data[near] - vector) ** 2).sum(axis=1))
+                distance = np.full(len(near), np.inf)
+                for i in own:
+                    distance = np.minimum(distance, np.sqrt(((data[near] - vectors[i]) ** 2).sum(axis=1)))
                 if len(near) > k:
                     few = distance <= np.partition(distance, k - 1)[k - 1]
                     near, distance = near[few], distance[few]

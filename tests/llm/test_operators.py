@@ -334,3 +334,16 @@ def test_pipeline_decides_by_row(spark):
     assert both(single) == sorted([(3, one), (7, two), (7, item), (None, three)], key=repr) and single.columns == raw.columns
     clean = corpus_pipeline.uncontaminated(spark, known, SF_DIR)
     assert both(clean) == sorted([r for r in lettered if r[1] != item], key=repr) and clean.columns == raw.columns
+
+
+def test_neighbours_of_repeated_queries(spark):
+    data = np.random.default_rng(8).normal(size=(400, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(data)]
+    frame = spark.createDataFrame(rows + [rows[100]] + 2 * [rows[200]] + [(300, data[7].tolist())], "vec_id long, embedding array<double>")
+    found = ann.nearest_neighbours(frame, F.col("vec_id").isin(100, 200, 300)).collect()
+    distance = lambda i: np.sqrt(((data - data[i]) ** 2).sum(axis=1))
+    for q, far in {100: distance(100), 200: distance(200), 300: np.minimum(distance(300), distance(7))}.items():
+        far[q] = np.inf
+        mine = {r.vec_id: r.score for r in found if r.query_id == q}
+        assert sorted(r["rank"] for r in found if r.query_id == q) == list(range(1, 11)) and len(mine) == 10
+        assert all(mine[i] == pytest.approx(far[i]) for i in mine) and len(set(np.argsort(far)[:10].tolist()) & set(mine)) >= 8
