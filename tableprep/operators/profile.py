@@ -18,7 +18,8 @@ def _partial_counts(
 ) -> DataFrame:
     """(by…, code_point, n): characters counted per step, still to be summed.
 
-    ``leading_hyphens_too`` adds the texts that start with a hyphen, under ``LEADING_HYPHEN``.
+    ``leading_hyphens_too`` adds the texts that start with a hyphen, under ``LEADING_HYPHEN``, and a row with a null
+    code point for each group with a null text, so that a group without any text is seen.
 
     Tasks count about a mebibyte of text at a time with array operations, so what is shuffled is one row per task,
     group and distinct character, never one row per character, and a very long text needs no more than its own size.
@@ -39,13 +40,25 @@ def _partial_counts(
             for first, last in zip(edges, edges[1:]):
                 yield batch.slice(first, last - first)
 
-        def count_step(step):
+        def groups(step):
+            """A number for each row's group, and a row of each group."""
             group = np.zeros(step.num_rows, dtype=np.int64)
             for i in range(len(by)):
                 codes = step.column(i).dictionary_encode(null_encoding="encode")
                 group = group * len(codes.dictionary) + codes.indices.to_numpy(zero_copy_only=False)
                 group = np.unique(group, return_inverse=True)[1]
-            member = np.unique(group, return_index=True)[1]
+            return group, np.unique(group, return_index=True)[1]
+
+        def no_text(step):
+            member = pa.array(groups(step)[1])
+            return pa.RecordBatch.from_arrays(
+                [*[step.column(i).take(member) for i in range(len(by))], pa.nulls(len(member), pa.int32()),
+                 pa.array(np.zeros(len(member), dtype=np.int64))],
+                names=[*by, "code_point", "n"],
+            )
+
+        def count_step(step):
+            group, member = groups(step)
             texts = step.column(len(by))
             # a malformed byte counts as one U+FFFD
             read = [value.decode("utf-8", "replace") for value in texts.cast(pa.binary()).to_pylist()]
@@ -81,7 +94,11 @@ def _partial_counts(
             )
 
         for batch in batches:
-            batch = batch.filter(pc.is_valid(batch.column(len(by))))
+            valid = pc.is_valid(batch.column(len(by)))
+            nulls = batch.filter(pc.invert(valid))
+            if leading_hyphens_too and nulls.num_rows:
+                yield from map(no_text, steps(nulls))
+            batch = batch.filter(valid)
             if batch.num_rows:
                 yield from map(count_step, steps(batch))
 
@@ -134,7 +151,8 @@ def hyphen_position(frame: DataFrame, column: str) -> DataFrame:
 
 
 def char_class_totals(frame: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
-    """One row per group with the totals of buckets 257-265.
+    """One row per group with the totals of buckets 257-265. As sums in SQL, those of a group whose texts are all null
+    are null, but for its leading hyphens, which are 0; without groups they are 0.
 
     Letters are Unicode letters; typeable is the space to the tilde. Characters that rule out a number are typeables
     other than digits, dots and a leading hyphen; those that rule out a date or time are typeables other than digits,
@@ -148,7 +166,8 @@ def char_class_totals(frame: DataFrame, column: str, by: Sequence[str] = ()) ->
     typeable = point.between(32, 126)
 
     def total(condition: Column, name: str) -> Column:
-        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0)).alias(name)
+        counted = F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
+        return (F.when(F.count("code_point") > 0, counted) if by and name != "leading" else counted).alias(name)
 
     totals = _partial_counts(frame, column, by, leading_hyphens_too=True).groupBy(*[quoted(c) for c in by]).agg(
         total(real & ~digit, "non_digit"),

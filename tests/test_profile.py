@@ -105,3 +105,11 @@ def test_value_counts(spark):
     frame = spark.createDataFrame([("a",), (None,), (None,), ("9",)], "c string")
     assert rows(profile.value_counts(frame, "c")) == [("9", 3), ("a", 1)]
     assert rows(profile.row_count(frame)) == [(4,)]
+
+
+def test_class_totals_of_groups_without_text(spark):
+    frame = spark.createDataFrame([(1, None), (1, None), (2, "-a1"), (2, None), (None, None), (3, "")], "g int, t string")
+    got = {r.g: r.asDict() for r in profile.char_class_totals(frame, "t", ["g"]).collect()}
+    assert set(got) == {1, 2, 3, None} and got[2] == {"g": 2, **totals(["-a1"])} and got[3] == {"g": 3, **totals([""])}
+    for g in (1, None):
+        assert {k for k, v in got[g].items() if v is not None} - {"g"} == {"leading"} and got[g]["leading"] == 0
