@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tableprep.llm.ann import nearest_neighbours
 from tableprep.llm.bpe import encode_bpe
 from tableprep.llm.chat import read_back, render, tokenise
+from tableprep.llm.collocations import collocations
 from tableprep.llm.components import stored
 from tableprep.llm.decontaminate import find_leaks
 from tableprep.llm.language import fit_context_trees, held_out, identify_language
+from tableprep.llm.quality import fit_quality, score_quality
+from tableprep.llm.repair import repair_conversations
 from tableprep.llm.revisits import TRACKING, header_block, resolve_revisits
 from tableprep.llm.secret_scan import find_secrets, span_list
 from tableprep.llm.simhash import near_duplicates
@@ -171,3 +174,77 @@ ORACLES["op7_revisit_resolution"] = rf"""
            case when l.page_id is not null and coalesce(md5(r.html) = md5(s.html), true) then sha256(s.html) end as payload_sha256
     from keyed r left join latest l on l.key = r.key left join pages s on s.page_id = l.page_id
 """
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """``rows`` after a fault chosen by their conversation and turn; what is dropped stays, with ``present`` false."""
+    def filled(column: str) -> Column:
+        return F.coalesce(F.col(column).cast("string"), F.lit(" "))
+
+    fault = F.crc32(F.concat(filled("conv_id"), F.lit(":"), filled("turn"))) % 20
+    role = F.when(fault == 4, "user").otherwise(filled("role"))
+    text = F.when(fault == 1, "").when(fault == 2, F.translate(filled("text"), ".!?", "")).otherwise(filled("text"))
+    times = F.explode(F.sequence(F.lit(1), F.when(fault == 3, 2).otherwise(1)))
+    return rows.select(
+        "conv_id", "turn", role.alias("role"), text.alias("text"), (fault != 0).alias("present"), times.alias("time"))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repair_conversations(damaged(table(spark, sf_dir, "conversations")), present=F.col("present"))
+    lines = F.array_join(F.transform("repaired", lambda t: F.concat(t["role"], F.lit(":"), t["text"])), "\n")
+    return found.select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.sha2(lines, 256).alias("repaired_sha256"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_collocations"] = r"""
+    with pieces as (
+        select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) as piece
+        from documents
+    ), split as (
+        select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') as w from pieces
+    ), grams as (
+        select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase
+        from split, (values (1), (2), (3)) as sizes(k)
+    ), counted as (
+        select lang, k, phrase, count(*) as f from grams group by all
+    ), totals as (
+        select lang, sum(f)::bigint as n from counted where k = 1 group by lang
+    ), candidates as (
+        select lang, k as words, phrase, f as a, string_split(phrase, ' ') as w from counted where k >= 2 and f >= 10
+    ), cuts as (
+        select c.*, i, l.f as l, r.f as r, (1000000::hugeint * a * a) // (l.f::hugeint * r.f) as score
+        from candidates c, (values (1), (2)) as places(i), counted l, counted r
+        where i < words and l.lang = c.lang and l.phrase = array_to_string(w[1:i], ' ')
+          and r.lang = c.lang and r.phrase = array_to_string(w[i + 1:], ' ')
+    ), weakest as (
+        select * from cuts qualify row_number() over (partition by lang, phrase order by score, i) = 1
+    ), longer as (
+        select lang, part, max(a) as most
+        from (select lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as part
+              from candidates where words = 3)
+        group by lang, part
+    ), ranked as (
+        select w.lang, row_number() over (partition by w.lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, score
+        from weakest w left join longer on longer.lang = w.lang and longer.part = w.phrase and w.words = 2
+        where most is null or 100 * most < 50 * a
+    )
+    select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join totals using (lang) where rank <= 2000
+"""
+
+
+@query
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs.where(~held_out("doc_id", 5, 0)), table(spark, sf_dir, "labels"))
+    return score_quality(docs, model).select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "difference")
