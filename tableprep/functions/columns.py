@@ -11,16 +11,24 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def fresh_name(frame: DataFrame, name: str) -> str:
+    """``name``, or ``name`` and as many underscores as make it unlike every column of ``frame``, whatever their case."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def source_path() -> Column:
     """Path of the file a row was read from, as it is listed; Spark hands it out with some characters escaped."""
     path = F.col("_metadata.file_path")
     return F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
 
 
-def is_plain_scan(frame: DataFrame) -> bool:
-    """Whether the rows come straight from files, so that they still know which."""
+def is_plain_scan(frame: DataFrame, field: str = "file_path") -> bool:
+    """Whether the rows come straight from files, so that they still know which (or that ``field`` of their origin)."""
     try:
-        frame.select("_metadata.file_path")
+        frame.select(f"_metadata.{field}")
     except AnalysisException:
         return False
     return True
