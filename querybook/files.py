@@ -173,13 +173,14 @@ def recommend_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compressed sizes cannot be told in SQL; that all rows were counted, that few were written, that the estimate is of
     the order of the source's own size and that the number of files follows from it can."""
     lineitem = table(spark, sf_dir, "lineitem")
-    source = lineitem.groupBy("_metadata.file_path").agg(F.max("_metadata.file_size").alias("size")).agg(F.sum("size").alias("size"))
-    found = recommend(lineitem, target_bytes=100_000).crossJoin(F.broadcast(source))
-    files = F.greatest(F.lit(1), F.floor(F.lit(0.5) + F.col("estimated_bytes") / 100_000))
+    files = lineitem.groupBy("_metadata.file_path").agg(F.max("_metadata.file_size").alias("size"))
+    source = files.agg(F.sum("size")).first()[0]
+    found = recommend(lineitem, target_bytes=100_000)
+    follows = F.greatest(F.lit(1), F.floor(F.lit(0.5) + F.col("estimated_bytes") / 100_000))
     return found.select(
         "n_rows", F.col("sampled_rows").between(1, F.least(F.col("n_rows"), F.lit(4 << 14))).alias("few_sampled"),
-        F.col("estimated_bytes").between(F.col("size") * 0.4, F.col("size") * 1.6).alias("in_proportion"),
-        (F.col("recommended") == files).alias("follows"))
+        F.col("estimated_bytes").between(source * 0.4, source * 1.6).alias("in_proportion"),
+        (F.col("recommended") == follows).alias("follows"))
 
 
 @query("select l_orderkey, l_linenumber, true as as_planned from lineitem")

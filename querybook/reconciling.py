@@ -14,7 +14,7 @@ from tableprep.operators.views import schema_report
 from tableprep.plans.projection import union_all as bag_union
 from tableprep.sinks.writers import write_parquet
 from tableprep.sources.readers import read_parquet_instances as read_instances
-from tableprep.storage import scratch_dir
+from tableprep.storage import list_children, rename, scratch_dir
 
 
 @query(f"select * from ({ERAS_SQL})")
@@ -94,7 +94,8 @@ def source_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     location = scratch_dir(spark, "yearly")
     orders = table(spark, sf_dir, "orders").withColumn("y", F.year("o_orderdate"))
     orders.write.mode("overwrite").partitionBy("y").parquet(location)
-    return resolved_union_paths(spark, [location], tag_column="source_year", tag_pattern=r"/y=(\d{4})/")
+    tagged = resolved_union_paths(spark, [location], tag_column="source_year", tag_pattern=r"/y=(\d{4})/")
+    return tagged.drop("y")  # the same year, as the directory names give it
 
 
 @query("select o_orderkey as k from orders union all select l_orderkey as k from lineitem")
@@ -116,6 +117,26 @@ def discover_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+    select o_orderkey, o_totalprice, case when year(o_orderdate) <> 1999 then year(o_orderdate) end::bigint as y,
+           case when year(o_orderdate) <> 1999 then lpad(month(o_orderdate)::varchar, 2, '0') end as m
+    from orders
+""")
+def discover_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One root with the years before 1999 in directories y=.../m=01, 1999 in a file without a suffix beside them, and the
+    rest in a plain directory whose rows hold their year and month."""
+    location = scratch_dir(spark, "layouts")
+    year, month = F.year("o_orderdate"), F.lpad(F.month("o_orderdate").cast("string"), 2, "0")
+    orders = table(spark, sf_dir, "orders")
+    dated = orders.select("o_orderkey", "o_totalprice", year.alias("y"), month.alias("m"))
+    dated.where("y < 1999").write.partitionBy("y", "m").parquet(f"{location}/root")
+    dated.where("y > 1999").withColumn("y", F.col("y").cast("bigint")).write.parquet(f"{location}/root/later")
+    dated.where("y = 1999").select("o_orderkey", "o_totalprice").coalesce(1).write.parquet(f"{location}/one")
+    part = next(e for e in list_children(spark, f"{location}/one") if not e.is_dir)
+    rename(spark, part.path, f"{location}/root/000000_0")
+    return resolved_union_paths(spark, [f"{location}/root"])
+
+
 @query("""
     select l_orderkey, l_linenumber::bigint as l_linenumber, l_quantity,
            case when l_returnflag = 'R' then null else l_linestatus end as l_linestatus

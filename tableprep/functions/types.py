@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import types as T
@@ -47,6 +48,22 @@ def resolve_type(types: Iterable[T.DataType], mixed_numeric: str = "string") ->
     return T.StringType()
 
 
+def type_of_text(value: str) -> T.DataType:
+    """The type of a value written as text: a number or date only if it would be written that way again, so ``01`` and
+    ``1e3`` are text."""
+    if re.fullmatch("0|-?[1-9][0-9]*", value) and -(2**63) <= int(value) < 2**63:
+        return T.IntegerType() if -(2**31) <= int(value) < 2**31 else T.LongType()
+    if re.fullmatch(r"-?[0-9]+\.[0-9]+", value) and repr(float(value)) == value:
+        return T.DoubleType()
+    if re.fullmatch("[0-9]{4}-[0-9]{2}-[0-9]{2}", value):
+        try:
+            datetime.date.fromisoformat(value)
+        except ValueError:
+            return T.StringType()
+        return T.DateType()
+    return T.StringType()
+
+
 def reader_widens(observed: T.DataType, resolved: T.DataType) -> bool:
     """Whether the Parquet reader itself can return ``observed`` file data as ``resolved``."""
     return observed.simpleString() == resolved.simpleString() or any(

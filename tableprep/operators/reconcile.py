@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -10,11 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tableprep.errors import VIEW_FROM_PARQUET_CODE, SchemaError
 from tableprep.functions.columns import source_path
-from tableprep.functions.types import distinct_types, reader_widens, resolve_type, type_of_default
+from tableprep.functions.types import distinct_types, reader_widens, resolve_type, type_of_default, type_of_text
 from tableprep.plans.projection import aligned, by_lower_name, union_all
-from tableprep.sources.listing import discover_tables
+from tableprep.sources.listing import FoundTable, find_tables, partition_columns, with_base
 from tableprep.sources.readers import read_parquet
-from tableprep.storage import iter_children
 
 LEAF_DIRECTORY = r"([^/]+)/[^/]+$"
 
@@ -115,26 +114,44 @@ def resolved_union(
 
 @dataclass(frozen=True)
 class TableInstance:
-    """One discovered table: its path and the schema of its footers."""
+    """One discovered table, and the columns of its footers and of the names of its directories."""
 
-    path: str
+    table: FoundTable
     schema: T.StructType
-    partitioned: bool
 
+    @property
+    def partitioned(self) -> bool:
+        return self.table.base is not None
 
-def open_instances(spark: SparkSession, paths: Sequence[str], parallelism: int = 16) -> list[TableInstance]:
-    """Every table under ``paths`` in listing order. Only footers are read, several tables at a time."""
-
-    def open_one(path: str) -> TableInstance:
-        schema = read_parquet(spark, path, code=VIEW_FROM_PARQUET_CODE).schema
-        first = next(iter_children(spark, path), None)
-        return TableInstance(path, schema, first is not None and first.is_dir and "=" in first.name)
 
-    tables = [table for path in paths for table in discover_tables(spark, path)]
+def open_instances(spark: SparkSession, paths: Sequence[str], parallelism: int = 16) -> list[TableInstance]:
+    """Every table under ``paths`` in listing order. Only footers are read, several tables at a time.
+
+    Partition columns stand behind the others and get the type that holds all their values, which is a number or date
+    only where each would be written that way again: months ``01`` to ``12`` stay text."""
+
+    def open_one(found: FoundTable) -> TableInstance:
+        table = with_base(spark, found)
+        below = {} if table.base is None else {"recursiveFileLookup": True}
+        schema = read_parquet(spark, *table.paths, code=VIEW_FROM_PARQUET_CODE, **below).schema
+        if table.base is None:
+            return TableInstance(table, schema)
+        values = partition_columns(spark, table)
+        fields = {name: T.StructField(name, _type_of_values(seen)) for name, seen in values.items()}
+        lowered = {name.lower() for name in fields}
+        kept = [field for field in schema.fields if field.name.lower() not in lowered]
+        return TableInstance(table, T.StructType([*kept, *fields.values()]))
+
+    tables = [table for path in paths for table in find_tables(spark, path)]
     with ThreadPoolExecutor(parallelism) as pool:
         return list(pool.map(open_one, tables))
 
 
+def _type_of_values(values: Collection[str | None]) -> T.DataType:
+    known = [type_of_text(value) for value in sorted(v for v in values if v is not None)]
+    return resolve_type(known) if known else T.StringType()
+
+
 def _scan_groups(
     instances: Sequence[TableInstance], target: T.StructType, defaults: Mapping[str, object]
 ) -> list[tuple[T.StructType, list[TableInstance]]]:
@@ -166,8 +183,9 @@ def _equal_layouts(instances: Sequence[TableInstance]) -> list[tuple[T.StructTyp
 
 
 def _scan(spark: SparkSession, schema: T.StructType, group: Sequence[TableInstance]) -> DataFrame:
-    known = None if group[0].partitioned else schema
-    return read_parquet(spark, *[i.path for i in group], schema=known, code=VIEW_FROM_PARQUET_CODE)
+    paths = [path for instance in group for path in instance.table.paths]
+    base = {} if group[0].table.base is None else {"basePath": group[0].table.base}
+    return read_parquet(spark, *paths, schema=schema, code=VIEW_FROM_PARQUET_CODE, **base)
 
 
 def scans_by_layout(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
@@ -191,7 +209,7 @@ def resolved_union_paths(
 ) -> DataFrame:
     """Discover the tables under ``paths`` and union them under one resolved schema, registered as ``view_name``.
 
-    The plan has one scan per distinct schema, not one per table, so thousands of daily tables stay plannable.
+    Tables may be laid out differently: what is a directory name in one may be a column in another. The plan has one scan per distinct schema, not one per table, so thousands of daily tables stay plannable.
     """
     instances = open_instances(spark, paths)
     target = resolve_types(observe([i.schema for i in instances], defaults), mixed_numeric)
