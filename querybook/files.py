@@ -92,6 +92,21 @@ def read_lines_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_lines(spark, location)
 
 
+@query("""
+    select o_orderstatus as status, row_number() over (partition by o_orderstatus order by o_orderkey) as line_no,
+           o_orderkey || '|' || o_orderpriority as value
+    from orders
+""")
+def read_lines_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as one text file for each status, in order of their keys, numbered file by file."""
+    location = scratch_dir(spark, "numbered") + "/orders"
+    line = F.concat_ws("|", "o_orderkey", "o_orderpriority").alias("value")
+    orders = table(spark, sf_dir, "orders").repartition("o_orderstatus").sortWithinPartitions("o_orderstatus", "o_orderkey")
+    orders.select(line, F.col("o_orderstatus").alias("status")).write.partitionBy("status").text(location)
+    lines = readers.read_lines(spark, location, numbered=True)
+    return lines.select(F.regexp_extract("file", "/status=([^/]*)/", 1).alias("status"), "line_no", "value")
+
+
 COUNTS_SQL = " union all ".join(f"select '{t}.parquet' as name, count(*) as n_rows from {t}" for t in TABLES)
 
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tableprep.errors import DEFAULT_CODE, READ_FILE_CODE, EmptyInputError, ReadError, guard
-from tableprep.functions.columns import quoted, source_path
-from tableprep.operators.rowid import BROADCAST_FILES, dense_row_id
+from tableprep.functions.columns import quoted
+from tableprep.plans.projection import union_all
+from tableprep.sources import quoted as quoted_csv
+from tableprep.sources.splits import number_lines
+from tableprep.storage import scratch_dir
 
 
 def _read(
@@ -59,15 +64,51 @@ def read_parquet_instances(
 def read_header_csv(spark: SparkSession, *paths: str, header: bool = True, code: int = READ_FILE_CODE) -> DataFrame:
     """CSV with quoted fields and line breaks inside quotes; all columns are strings.
 
-    When the last row of a file is blank in every field it is dropped; blank rows elsewhere stay. A file with line
-    breaks inside quotes is always read by one task from start to end, so a blank row can be held back there until the
-    next row of its file shows that it was not the last: one pass, no shuffle, at most one row held. A file whose
-    header names other columns, or the same in another order, is an error when it is read.
+    When the last row of a file is blank in every field it is dropped; blank rows elsewhere stay. A file whose header
+    names other columns, or the same in another order, is an error when it is read. Line breaks are ``\\n`` or ``\\r\\n``.
+
+    Every file is shared by as many tasks as it has splits. The call surveys the quotes once. Files whose records are all one
+    line are then left to Spark's reader, which filters and columns reach; only others have their records put
+    together, see ``quoted``. Files with bare carriage returns, and files with line breaks inside quotes in folders
+    named after values, are read by one task each.
     """
-    rows = read_csv(spark, *paths, code=code, header=header, multiLine=True, quote='"', escape='"', enforceSchema=False)
+    options = {"header": header, "quote": '"', "escape": '"', "enforceSchema": False}
+    names = read_csv(spark, *paths, code=code, multiLine=True, **options).columns
+    with guard(ReadError, f"cannot read csv from {', '.join(paths)}", code):
+        inside = spark.read.text(list(paths)).columns[1:]
+        splits = quoted_csv.survey(spark, list(paths))
+        location = scratch_dir(spark, "quotes") + "/survey"
+        splits.write.parquet(location)
+        splits = spark.read.schema(splits.schema).parquet(location)
+        files = quoted_csv.kinds_of_files(splits)
+        kinds = {row.kind for row in files.select("kind").distinct().collect()}
+    if kinds <= {quoted_csv.PLAIN}:
+        return read_csv(spark, *paths, code=code, **options)
+    if inside:
+        return _read_whole(spark, paths, code, options, len(inside))
+    of_kind: dict[int, list[str]] = {}
+    for row in files.collect():
+        of_kind.setdefault(row.kind, []).append(row.file)
+    parts = []
+    if quoted_csv.PLAIN in of_kind:
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        parts.append(read_csv(spark, *of_kind[quoted_csv.PLAIN], schema=schema, code=code, **options))
+    if quoted_csv.QUOTED in of_kind:
+        parts.append(quoted_csv.read_quoted(spark, of_kind[quoted_csv.QUOTED], splits, names, header))
+    if quoted_csv.WHOLE in of_kind:
+        parts.append(_read_whole(spark, of_kind[quoted_csv.WHOLE], code, options))
+    return union_all(parts)
+
+
+def _read_whole(
+    spark: SparkSession, paths: Sequence[str], code: int, options: dict[str, object], in_paths: int = 0
+) -> DataFrame:
+    """Each file by one task from start to end; the last ``in_paths`` columns come from the names of folders. A blank row is held back there until the next row of its file shows that it
+    was not the last: one pass, no shuffle, at most one row held."""
+    rows = read_csv(spark, *paths, code=code, multiLine=True, **options)
     names = rows.columns
     blank = F.lit(True)
-    for name in names:
+    for name in names[:len(names) - in_paths]:
         blank = blank & F.coalesce(quoted(name) == F.lit(""), F.lit(True))
 
     def without_blank_ends(batches):
@@ -95,7 +136,8 @@ def read_header_csv(spark: SparkSession, *paths: str, header: bool = True, code:
 def read_lines(spark: SparkSession, *paths: str, numbered: bool = False, code: int = READ_FILE_CODE) -> DataFrame:
     """Lines of text files; input without a single line is an error.
 
-    ``numbered`` adds ``file`` and a 1-based ``line_no`` within it, whatever number of tasks share one huge file.
+    ``numbered`` adds ``file`` and a 1-based ``line_no`` within it, whatever number of tasks share one huge file; see
+    ``number_lines``.
     """
     lines = read_text(spark, *paths, code=code)
     with guard(ReadError, f"cannot read lines of {', '.join(paths)}", code):
@@ -103,12 +145,4 @@ def read_lines(spark: SparkSession, *paths: str, numbered: bool = False, code: i
             raise EmptyInputError(f"{', '.join(paths)} is empty", code)
     if not numbered:
         return lines
-    placed = lines.select(
-        "value", source_path().alias("file"), F.col("_metadata.file_block_start").alias("split_start"),
-        F.monotonically_increasing_id().alias("place"),
-    )
-    ids = dense_row_id(placed, ["file", "split_start", "place"], "id")
-    firsts = ids.groupBy("file").agg(F.min("id").alias("first"))
-    if firsts.count() <= BROADCAST_FILES:
-        firsts = F.broadcast(firsts)
-    return ids.join(firsts, "file").select("file", (F.col("id") - F.col("first") + 1).alias("line_no"), "value")
+    return number_lines(lines)
