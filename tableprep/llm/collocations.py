@@ -1,9 +1,9 @@
 """Phrases of a few words that recur, counted by bidirectional FM-indexes over word ids, one index per shard.
 
-Two passes read the texts. The first counts words and pairs in a hashed field of cells, capped, so that the second can
-tell which phrases cannot reach the least count anywhere. The second builds the indexes, extends intervals and emits the
-exact counts of what is left. A cell never counts less than a phrase in it, so the field drops no phrase that counts; a
-field that is too small for a corpus costs time, not results."""
+Each task turns its texts into shards, indexes them, extends intervals and sends every phrase it met with its count. The
+shards cannot tell alone which phrases are rare, so all are sent, packed: a row for each shard and block of phrases, which
+holds them in order of their words, compressed. A block takes the phrases whose hash says so, about as many at
+any size of the corpus, sums them exactly and keeps those that reach the least count."""
 
 from __future__ import annotations
 
@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tableprep.llm.batches import raw
@@ -24,9 +25,7 @@ from tableprep.llm.components import stored
 UNDETERMINED = "und"
 END = 0
 SHARD_WORDS = 1 << 20
-FIELD_BITS = 26
-BLOCK_BITS = 16
-CAP = 255
+BLOCK_TEXT_BYTES = 8 << 20
 _PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 _TEXT_SLICE = 1 << 20
 _PLAIN = bytes.maketrans(
@@ -63,20 +62,35 @@ class Shard:
             start = end
         self._parts.append(np.array([END], dtype=np.int32))
 
-    def close(self) -> tuple[np.ndarray, pa.Array, np.ndarray, list[str]]:
-        """The ids; by id: the words, the number of the word's language; the languages. Id 0 is ``END``."""
-        langs = list(self._ids)
-        words: list[bytes] = [b""] * next(self._next)
-        owner = np.zeros(len(words), dtype=np.int32)
-        for number, lang in enumerate(langs):
-            for word, place in self._ids[lang].items():
-                if place > 0:
-                    words[place], owner[place] = word, number
-        return np.concatenate(self._parts), pa.array(words, pa.binary()), owner, langs
+    def close(self) -> Words:
+        langs = sorted(self._ids)
+        known = [(number, word, place) for number, lang in enumerate(langs) for word, place in self._ids[lang].items() if place > 0]
+        known.sort()
+        place = np.zeros(len(known) + 1, dtype=np.int32)
+        place[[each[2] for each in known]] = np.arange(1, len(known) + 1)
+        words = pa.array([b"", *[each[1] for each in known]], pa.binary())
+        return Words(place[np.concatenate(self._parts)], words, np.array([0, *[each[0] for each in known]], dtype=np.int32), langs)
 
 
-def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray, list[str]]]:
-    """Closed shards of about ``SHARD_WORDS`` words, or one text where that alone is longer."""
+@dataclass(frozen=True)
+class Words:
+    """A closed shard: its ids; by id the word and the number of its language, in that order; the languages. Id 0 is
+    ``END``."""
+
+    ids: np.ndarray
+    words: pa.Array
+    owner: np.ndarray
+    langs: list[str]
+
+    def hashes(self) -> np.ndarray:
+        """Of each word in its language, the same in every shard."""
+        seeds = [xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")) for lang in self.langs]
+        pairs = zip(self.words.to_pylist(), self.owner.tolist(), strict=True)
+        return np.array([xxhash.xxh64_intdigest(word, seeds[number]) for word, number in pairs], dtype=np.uint64)
+
+
+def make_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
+    """Shards of about ``SHARD_WORDS`` words, or one text where that alone is longer, of rows of (lang, body)."""
     shard = Shard()
     for batch in batches:
         for lang, data in zip(batch.column("lang").to_pylist(), raw(batch.column("body")), strict=True):
@@ -84,75 +98,8 @@ def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.A
             if shard.size >= SHARD_WORDS:
                 yield shard.close()
                 shard = Shard()
-    yield shard.close()
-
-
-def word_hashes(words: pa.Array, owner: np.ndarray, langs: list[str]) -> np.ndarray:
-    seeds = [xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")) for lang in langs]
-    return np.array([
-        xxhash.xxh64_intdigest(word, seeds[number]) if seeds else 0
-        for word, number in zip(words.to_pylist(), owner.tolist(), strict=True)], dtype=np.uint64)
-
-
-def cells(hashes: np.ndarray, first: np.ndarray, second: np.ndarray | None = None) -> np.ndarray:
-    """Cell numbers of words, or of pairs of words, in the field."""
-    key = hashes[first]
-    if second is not None:
-        key = (key * _MIX) ^ (hashes[second] >> np.uint64(7)) ^ (hashes[second] << np.uint64(57))
-    return ((key * _MIX) >> np.uint64(64 - FIELD_BITS)).astype(np.int64)
-
-
-def _capped_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each shard and block of cells: offsets of the cells met and their capped counts."""
-    for ids, words, owner, langs in shards(batches):
-        hashes = word_hashes(words, owner, langs)
-        left, right = ids[:-1], ids[1:]
-        pair = (left != END) & (right != END)
-        met = np.concatenate([cells(hashes, ids[ids != END]), cells(hashes, left[pair], right[pair])])
-        if not len(met):
-            continue
-        met.sort()
-        starts = np.flatnonzero(np.concatenate([[True], met[1:] != met[:-1]]))
-        times = np.minimum(np.diff(np.append(starts, len(met))), CAP).astype(np.uint8)
-        cell = met[starts]
-        block = cell >> BLOCK_BITS
-        cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-        ends = np.append(cuts[1:], len(cell))
-        offsets = (cell & ((1 << BLOCK_BITS) - 1)).astype(np.uint16)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(block[cuts], pa.int32()),
-            pa.array([offsets[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
-            pa.array([times[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
-        ], names=["block", "offsets", "times"])
-
-
-def frequent_cells(texts: DataFrame, least: int) -> np.ndarray:
-    """A field of ``2 ** FIELD_BITS`` bits, packed: set where a cell's words and pairs come to ``least`` or more in all
-    of ``texts`` (lang, body). Its size is fixed (8 MB), so it may pass through the driver and to every task."""
-    least = min(least, CAP)
-    met = texts.mapInArrow(_capped_counts, "block int, offsets binary, times binary")
-
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, offsets, times in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-                total = totals.get(block)
-                if total is None:
-                    total = totals[block] = np.zeros(1 << BLOCK_BITS, dtype=np.uint16)
-                place = np.frombuffer(offsets, np.uint16)
-                total[place] = np.minimum(total[place] + np.frombuffer(times, np.uint8), CAP)
-        bits = [np.packbits(total >= least).tobytes() for total in totals.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array(bits, pa.binary())], names=["block", "bits"])
-
-    field = np.zeros((1 << (FIELD_BITS - BLOCK_BITS), 1 << (BLOCK_BITS - 3)), dtype=np.uint8)
-    merged = met.repartition("block").mapInArrow(summed, "block int, bits binary").toArrow()
-    for block, bits in zip(merged["block"].to_pylist(), merged["bits"].to_pylist(), strict=True):
-        field[block] = np.frombuffer(bits, np.uint8)
-    return field.reshape(-1)
-
-
-def _is_set(field: np.ndarray, cell: np.ndarray) -> np.ndarray:
-    return (field[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
+    if shard.size:
+        yield shard.close()
 
 
 @dataclass(frozen=True)
@@ -235,47 +182,90 @@ class BidirectionalIndex:
         return Intervals((*(w[owner] for w in of.words), word), forward, backward, size)
 
 
-def shard_phrases(ids: np.ndarray, hashes: np.ndarray, field: np.ndarray | None, longest: int) -> Iterator[Intervals]:
-    """Words and phrases of up to ``longest`` words of one shard. Pairs grow from words to the right, longer phrases from
-    shorter ones to the left; what holds a word or pair whose cell is not set in ``field`` is left out."""
+def shard_phrases(ids: np.ndarray, longest: int) -> Iterator[Intervals]:
+    """Words and phrases of up to ``longest`` words of one shard, by length. Pairs grow from words to the right, longer
+    phrases from shorter ones to the left."""
     index = BidirectionalIndex(ids, longest)
     found = index.single_words()
-    if field is not None:
-        found = found.where(_is_set(field, cells(hashes, found.words[0])))
     yield found
     for length in range(2, longest + 1):
         found = index.to_the_right(found) if length == 2 else index.to_the_left(found)
-        if field is not None:
-            found = found.where(_is_set(field, cells(hashes, found.words[0], found.words[1])))
         yield found
 
 
+PACKED = T.StructType([
+    T.StructField("block", T.IntegerType()), T.StructField("lang", T.StringType()), T.StructField("words", T.IntegerType()),
+    *[T.StructField(name, T.BinaryType()) for name in ("phrases", "lengths", "times")]])
+COUNTED = T.StructType([
+    T.StructField("lang", T.StringType()), T.StructField("words", T.IntegerType()), T.StructField("phrase", T.BinaryType()),
+    T.StructField("n", T.LongType())])
+
+
+def _packed(shard: Words, found: Intervals, hashes: np.ndarray, blocks: int) -> Iterator[tuple]:
+    """Rows of ``PACKED`` for the phrases of one length."""
+    key = np.zeros(len(found.size), dtype=np.uint64)
+    for word in found.words:
+        key = (key ^ hashes[word]) * _MIX
+        key ^= key >> np.uint64(29)
+    part = (key % np.uint64(blocks)).astype(np.int64) * len(shard.langs) + shard.owner[found.words[0]]
+    order = np.argsort(part, kind="stable")  # phrases of a part stay in order of their words
+    part = part[order]
+    phrases = pc.binary_join_element_wise(*[shard.words.take(pa.array(word[order])) for word in found.words], b" ")
+    offsets = np.frombuffer(phrases.buffers()[1], np.int32, len(order) + 1)
+    data, lengths, times = phrases.buffers()[2], np.diff(offsets), found.size[order]
+    cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else []
+    press = zstandard.ZstdCompressor(level=1).compress
+    for start, end in zip(cuts, [*cuts[1:], len(part)], strict=True):
+        block, lang = divmod(int(part[start]), len(shard.langs))
+        yield (block, shard.langs[lang], len(found.words), press(data[int(offsets[start]):int(offsets[end])]),
+               press(lengths[start:end].astype(np.int32).tobytes()), press(times[start:end].astype(np.int64).tobytes()))
+
+
 def phrase_counts(texts: DataFrame, least: int, longest: int) -> DataFrame:
     """lang, words, phrase and how often it occurs in all of ``texts`` (lang, body), for every phrase of up to ``longest``
-    words that occurs ``least`` times or more (and some that do not), and ``words`` 0: all words of the language."""
-    shared = texts.sparkSession.sparkContext.broadcast(frequent_cells(texts, least))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(lang: np.ndarray, langs: list[str], words: int, phrases: pa.Array, times: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([
-                pa.array(langs, pa.string()).take(pa.array(lang)), pa.array(np.full(len(times), words, np.int32)), phrases,
-                pa.array(times.astype(np.int64))], names=["lang", "words", "phrase", "n"])
-
-        for ids, words, owner, langs in shards(batches):
-            totals = np.bincount(owner[ids[ids != END]], minlength=len(langs))
-            used = np.flatnonzero(totals)
-            yield rows(used, langs, 0, pa.array([b""] * len(used), pa.binary()), totals[used])
-            if not len(used):
-                continue
-            hashes = word_hashes(words, owner, langs)
-            for found in shard_phrases(ids, hashes, shared.value, longest):
-                for start in range(0, len(found.size), 1 << 17):
-                    some = found.where(slice(start, start + (1 << 17)))
-                    phrases = pc.binary_join_element_wise(*[words.take(pa.array(w)) for w in some.words], b" ")
-                    yield rows(owner[some.words[0]], langs, len(some.words), phrases, some.size)
-
-    counted = texts.mapInArrow(run, "lang string, words int, phrase binary, n long")
-    return counted.groupBy("lang", "words", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("n").alias("n"))
+    words that occurs ``least`` times or more; and with ``words`` 0 how many words the language has."""
+    size = texts.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    blocks = int(size // BLOCK_TEXT_BYTES) + 1
+    kinds = pa.schema([("block", pa.int32()), ("lang", pa.string()), ("words", pa.int32()),
+                       *[(name, pa.binary()) for name in PACKED.names[3:]]])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds.types, strict=True)], schema=kinds)
+
+        for shard in make_shards(batches):
+            totals = np.bincount(shard.owner[shard.ids[shard.ids != END]], minlength=len(shard.langs))
+            press = zstandard.ZstdCompressor(level=1).compress
+            sums = [(0, shard.langs[i], 0, press(b""), press(np.int32(0).tobytes()), press(np.int64(totals[i]).tobytes()))
+                    for i in np.flatnonzero(totals)]
+            if sums:
+                yield batch(sums)
+            hashes = shard.hashes()
+            for found in shard_phrases(shard.ids, longest):
+                rows = list(_packed(shard, found, hashes, blocks))
+                for start in range(0, len(rows), 1000):
+                    yield batch(rows[start:start + 1000])
+
+    def total(key: tuple, block: pa.Table) -> pa.Table:
+        _, lang, words = (part.as_py() for part in key)
+        loose = zstandard.ZstdDecompressor().decompress
+        phrases, times = [], []
+        for data, lengths, counts in zip(*[block[name].to_pylist() for name in PACKED.names[3:]], strict=True):
+            offsets = np.concatenate([[0], np.cumsum(np.frombuffer(loose(lengths), np.int32))]).astype(np.int32)
+            phrases.append(pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(loose(data))]))
+            times.append(np.frombuffer(loose(counts), np.int64))
+        met = pa.table({"phrase": pa.chunked_array(phrases), "n": np.concatenate(times)})
+        summed = met.group_by("phrase").aggregate([("n", "sum")])
+        summed = summed.filter(pc.greater_equal(summed["n_sum"], least if words else 0))
+        many = len(summed)
+        return pa.table({
+            "lang": pa.array([lang] * many, pa.string()), "words": pa.array(np.full(many, words, np.int32)),
+            "phrase": summed["phrase"], "n": summed["n_sum"]})
+
+    sent = texts.mapInArrow(send, PACKED)
+    return sent.groupBy("block", "lang", "words").applyInArrow(total, COUNTED).select(
+        "lang", "words", F.col("phrase").cast("string").alias("phrase"), "n")
 
 
 def _phrase(words: Column, start: int, length: int | Column) -> Column:
@@ -294,7 +284,7 @@ def collocations(docs: DataFrame, text_column: str = "text", lang_column: str =
     Null texts count as empty, a null language as ``und``; empty tables give no row, repeated rows count again, other
     columns are left out, whatever their names. Ties in score go to the greater count, then the smaller phrase in byte
     order. Malformed UTF-8 passes as it is. A text of any length is indexed whole; a shard takes about a million words, or
-    one text. Counts are summed as one row for each shard and phrase; what meets a language is the top of each task."""
+    one text. What meets in one task is a block of phrases, whose size does not follow the corpus, or the top of a language's tasks."""
     lang = F.coalesce(F.col(lang_column).cast("string"), F.lit(UNDETERMINED))
     texts = docs.select(lang.alias("lang"), F.col(text_column).cast("string").alias("body"))
     counts = stored(phrase_counts(texts, least, longest), "phrases")
