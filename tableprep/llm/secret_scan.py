@@ -6,6 +6,8 @@ where the parts that make them a credential stand within ``scope`` code points o
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tableprep.llm.components import stored
@@ -19,7 +21,9 @@ BASE = ("assign", "access", "hex")
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 
 SECRET = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"
-ENDPOINT = r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?|(?<![A-Za-z0-9.-])[a-z0-9-]+(?:\.[a-z0-9-]+)*\.amazonaws\.com"
+#: Flat classes, as Java follows a repeated group by recursion: dotted texts would overflow its stack.
+ENDPOINT = r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?|(?<![A-Za-z0-9.-])[a-z0-9.-]*[a-z0-9-]\.amazonaws\.com"
+EMPTY_LABEL = r"^\.|^[^:/]*\.\."
 IDENTIFIER = r"""(?i:(?:user(?:_?name)?|login|account|client_?id|access_?key_?id))["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}"""
 WEAK = ("secret", "endpoint", "identifier")
 KINDS = (*BASE, *WEAK)
@@ -28,41 +32,69 @@ SCOPE = 240
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string>>"
 
 
-def _all_spans(body: Column, pattern: str, kind: str, least: int = 1, group: int = 0) -> Column:
-    """Leftmost matches that do not overlap, in code points; dropped where the group is shorter than ``least``."""
-    matches = F.regexp_extract_all(body, F.lit(pattern), F.lit(0))
-    parts = [F.split(body, pattern, -1).alias("gap"), matches.alias("match")]
+#: Arrays are walked in chunks of so many elements, since what an aggregate gathers is copied at every step.
+CHUNK = 128
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _chunks(items: Column) -> Column:
+    """Numbers of the chunks of an array, which may be empty."""
+    return F.filter(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / CHUNK).cast("int")), lambda c: c * CHUNK < F.size(items))
+
+
+def _chunk(items: Column, number: Column) -> Column:
+    return F.slice(items, number * CHUNK + 1, CHUNK)
+
+
+def _all_spans(body: Column, pattern: str, kind: str, keep: Callable[[Column], Column] | None = None) -> Column:
+    """Leftmost matches that do not overlap, in code points; those that ``keep`` refuses are dropped. It gets a struct of
+    ``match`` and ``inner``, its last group. The work grows with the text and the number of matches."""
+    group = 2 if pattern == ASSIGN else 0
+    parts = [F.split(body, pattern, -1).alias("gap"), F.regexp_extract_all(body, F.lit(pattern), F.lit(0)).alias("match")]
     if group:
         parts.append(F.regexp_extract_all(body, F.lit(pattern), F.lit(group)).alias("inner"))
-    met = F.filter(F.arrays_zip(*parts), lambda x: x["match"].isNotNull())
+    met = F.transform(F.filter(F.arrays_zip(*parts), lambda x: x["match"].isNotNull()), lambda x: F.struct(
+        F.char_length(x["gap"]).cast("bigint").alias("gap"), F.char_length(x["match"]).cast("bigint").alias("length"),
+        (F.lit(True) if keep is None else keep(x)).alias("good")))
     nothing = F.array().cast(SPAN)
 
     def add(state: Column, x: Column) -> Column:
-        start = state["at"] + F.char_length(x["gap"])
-        end = start + F.char_length(x["match"])
+        start = state["at"] + x["gap"]
+        end = start + x["length"]
         span = F.array(F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"), F.lit(kind).alias("kind")))
-        good = F.char_length(x["inner"] if group else x["match"]) >= least
-        return F.struct(end.alias("at"), F.when(good, F.concat(state["spans"], span.cast(SPAN))).otherwise(state["spans"]).alias("spans"))
+        return F.struct(end.alias("at"), F.when(x["good"], F.concat(state["spans"], span.cast(SPAN))).otherwise(state["spans"]).alias("spans"))
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), nothing.alias("spans"))
-    return F.when(body.rlike(pattern), F.aggregate(met, start, add, lambda state: state["spans"])).otherwise(nothing)
+    def spans(items: Column) -> Column:
+        zero = F.lit(0).cast("bigint")
+        lengths = F.transform(_chunks(items), lambda c: F.aggregate(_chunk(items, c), zero, lambda n, x: n + x["gap"] + x["length"]))
+        firsts = F.aggregate(lengths, F.array(zero), lambda known, n: F.concat(known, F.array(F.element_at(known, -1) + n)))
+        return _let(firsts, lambda places: F.flatten(F.transform(_chunks(items), lambda c: F.aggregate(
+            _chunk(items, c), F.struct(F.get(places, c).alias("at"), nothing.alias("spans")), add, lambda state: state["spans"]))))
+
+    return F.when(body.rlike(pattern), _let(met, spans)).otherwise(nothing)
 
 
 def base_spans(body: Column) -> Column:
     """Spans of the kinds that are findings by themselves, by start and then in the order of ``BASE``."""
     found = [
-        _all_spans(body, ASSIGN, "assign", LEAST["assign"], group=2),
-        _all_spans(body, ACCESS, "access", LEAST["access"]),
+        _all_spans(body, ASSIGN, "assign", lambda x: F.char_length(x["inner"]) >= LEAST["assign"]),
+        _all_spans(body, ACCESS, "access", lambda x: F.char_length(x["match"]) >= LEAST["access"]),
         _all_spans(body, HEX[:-1] + f"{{{LEAST['hex']},}}", "hex"),  # a shorter run can hold no longer one
     ]
     return F.array_sort(F.concat(*found))
 
 
 def weak_spans(body: Column) -> Column:
-    """Candidates that need company; a 40-letter string must mix capital and small letters and digits."""
-    secrets = _all_spans(body, SECRET, "secret")
-    mixed = F.filter(secrets, lambda s: _mixed(F.substring(body, (s["start"] + 1).cast("int"), F.lit(40))))
-    return F.concat(mixed, _all_spans(body, ENDPOINT, "endpoint"), _all_spans(body, IDENTIFIER, "identifier"))
+    """Candidates that need company; a 40-letter string must mix capital and small letters and digits, and a host name with
+    an empty label is none."""
+    return F.concat(
+        _all_spans(body, SECRET, "secret", lambda x: _mixed(x["match"])),
+        _all_spans(body, ENDPOINT, "endpoint", lambda x: ~x["match"].rlike(EMPTY_LABEL)),
+        _all_spans(body, IDENTIFIER, "identifier"))
 
 
 def _mixed(word: Column) -> Column:
@@ -131,14 +163,26 @@ def redact(docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text_co
     ).dropDuplicates([other_id, other_hash])
     body = F.coalesce(F.col(text_column), F.lit(""))
 
-    def step(state: Column, s: Column) -> Column:
-        piece = F.substring(body, (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
-        out = F.when(s["start"] >= state["at"], F.concat(state["out"], piece, F.lit(mark))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), out.alias("out"))
-
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate(spans, start, step, lambda state: F.concat(
-        state["out"], F.substring(body, (state["at"] + 1).cast("int"), F.char_length(body))))
+    def marked(piece: Column, from_place: Column, some_spans: Column) -> Column:
+        def step(state: Column, s: Column) -> Column:
+            gap = F.substring(piece, (state["at"] - from_place + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
+            out = F.when(s["start"] >= state["at"], F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"])
+            return F.struct(F.greatest(state["at"], s["end"]).alias("at"), out.alias("out"))
+
+        return F.aggregate(some_spans, F.struct(from_place.alias("at"), F.lit("").alias("out")), step, lambda state: state["out"])
+
+    def cut(place: Column, end: Column) -> Column:
+        return F.substring(body, (place + 1).cast("int"), (end - place).cast("int"))
+
+    # each chunk of spans works on its own piece of the text, from the furthest end before it to its own
+    items = F.col(spans)
+    ends = F.transform(_chunks(items), lambda c: F.array_max(F.transform(_chunk(items, c), lambda s: s["end"])))
+    places = F.aggregate(
+        ends, F.array(F.lit(0).cast("bigint")), lambda known, end: F.concat(known, F.array(F.greatest(F.element_at(known, -1), end))))
+    clean = _let(places, lambda at: F.concat(
+        F.array_join(F.transform(_chunks(items), lambda c: _let(
+            cut(F.get(at, c), F.get(at, c + 1)), lambda piece: marked(piece, F.get(at, c), _chunk(items, c)))), ""),
+        cut(F.element_at(at, -1), F.char_length(body).cast("bigint"))))
     joined = docs.join(some, docs[id_column].eqNullSafe(some[other_id]) & (F.xxhash64(body) == some[other_hash]), "left")
     changed = joined.withColumn(text_column, F.when(F.col(spans).isNotNull(), clean).otherwise(F.col(text_column)))
     return changed.select(*docs.columns)
