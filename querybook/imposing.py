@@ -19,6 +19,7 @@ from tableprep.operators.imposed import select_columns_ci as columns_of
 from tableprep.operators.profile import row_count as count_rows
 from tableprep.operators.profile import value_counts as frequencies
 from tableprep.operators.rowid import dense_row_id as number_rows
+from tableprep.operators.rowid import reproducible_id as with_reproducible_id
 from tableprep.operators.rowid import surrogate_id as with_surrogate_id
 from tableprep.sinks.writers import write_parquet
 from tableprep.storage import scratch_dir
@@ -165,6 +166,18 @@ def surrogate_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select("l_orderkey", "l_linenumber", (F.col("seqnum") >= 10**12).alias("shifted"))
 
 
+@query("select l_orderkey, l_linenumber, 1::bigint as holders, true as again from lineitem")
+def reproducible_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every id is held by one row, and a second run over other columns and filters gives each row the same."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    ids = with_reproducible_id(lineitem).select("seqnum", "l_orderkey", "l_linenumber", F.xxhash64(*lineitem.columns).alias("row"))
+    holders = ids.groupBy("seqnum").agg(F.count("*").alias("holders"))
+    halves = [with_reproducible_id(lineitem.where(kept)) for kept in ("l_linenumber % 2 = 0", "l_linenumber % 2 <> 0")]
+    second = halves[0].unionByName(halves[1]).select("seqnum", F.xxhash64(*lineitem.columns).alias("row_again"))
+    return ids.join(holders, "seqnum").join(second, "seqnum").select(
+        "l_orderkey", "l_linenumber", "holders", (F.col("row") == F.col("row_again")).alias("again"))
+
+
 @query("""
     select coalesce(nullif(l_returnflag, 'R'), '9') as value, count(*) as n from lineitem group by 1
 """)

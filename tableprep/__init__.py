@@ -16,7 +16,7 @@ from tableprep.operators.profile import (
 from tableprep.operators.reconcile import (
     drift_report, observe, resolve_types, resolved_union, resolved_union_paths, source_tag,
 )
-from tableprep.operators.rowid import dense_row_id, surrogate_id
+from tableprep.operators.rowid import dense_row_id, reproducible_id, surrogate_id
 from tableprep.operators.sizing import compact, compaction_plan, recommend_partitions
 from tableprep.operators.views import preview, schema_report, show_string, view_from_parquet
 from tableprep.plans.sqljobs import sql_file_job, sql_query
@@ -41,7 +41,7 @@ __all__ = [
     "incremental_load", "incremental_stream", "layered_overlay", "list_databases", "lookup_schema", "mask_columns", "mask_sensitive",
     "observe", "overlay_tables", "partitioned_sink", "pi_of_points", "preview", "random_block", "random_points",
     "read_csv", "read_header_csv", "read_lines", "read_orc", "read_parquet", "read_parquet_instances", "read_text",
-    "recommend_partitions", "rename_parts", "reserved_word_columns", "reserved_word_names", "resolve_types",
+    "recommend_partitions", "rename_parts", "reproducible_id", "reserved_word_columns", "reserved_word_names", "resolve_types",
     "resolved_union", "resolved_union_paths", "row_count", "safe_column_names", "save_prefixed_table",
     "schema_report", "select_columns_ci", "show_string", "source_tag", "sql_file_job", "sql_query",
     "strip_common_prefix", "surrogate_id", "value_counts", "view_from_parquet", "write_csv",

@@ -42,6 +42,9 @@ def overlay_tables(layers: Sequence[DataFrame], keys: Sequence[str]) -> DataFram
     fields = {name: T.StructField(found[0].name, resolve_type([f.dataType for f in found])) for name, found in seen.items()}
     lowered = {k.lower() for k in keys}
     values = [f for name, f in fields.items() if name not in lowered]
+    rank_name = "rank"
+    while rank_name in fields:
+        rank_name += "_"
 
     def ranked(layer: DataFrame, rank: int) -> DataFrame:
         present = by_lower_name(layer.schema)
@@ -52,9 +55,9 @@ def overlay_tables(layers: Sequence[DataFrame], keys: Sequence[str]) -> DataFram
 
         return layer.select(
             *[value(fields[k.lower()]).alias(k) for k in keys], *[value(f).alias(f.name) for f in values],
-            F.lit(rank).alias("__rank"),
+            F.lit(rank).alias(rank_name),
         )
 
     bag = union_all([ranked(layer, len(layers) - i) for i, layer in enumerate(layers)])
-    best = [_best(quoted(f.name), F.col("__rank"), f.dataType).alias(f.name) for f in values]
+    best = [_best(quoted(f.name), F.col(rank_name), f.dataType).alias(f.name) for f in values]
     return bag.groupBy(*[quoted(k) for k in keys]).agg(*best)

@@ -6,13 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tableprep.errors import SchemaError
 from tableprep.functions.columns import quoted
 from tableprep.functions.fixed import CLASS_LABELS, TOO_HIGH, bucket_label
 
 STEP_BYTES = 2**20  # text counted at once inside a task
+CLASSES = (
+    "non_digit", "letter", "digit", "typeable_other", "non_typeable", "not_number", "not_date", "leading", "non_leading")
 LEADING_HYPHEN = -1  # stands for a hyphen that starts a text, beside its own code point
 
 
+def _refuse(names: Sequence[str], made: Sequence[str]) -> None:
+    """An error if one of ``names`` is also that of a column made here, in whatever case."""
+    taken = [name for name in names if name.lower() in made]
+    if taken:
+        raise SchemaError(f"the result has columns of its own called {', '.join(taken)}; rename those of the frame")
+
+
 def _partial_counts(
     frame: DataFrame, column: str, by: Sequence[str], leading_hyphens_too: bool = False
 ) -> DataFrame:
@@ -22,7 +32,8 @@ def _partial_counts(
     code point for each group with a null text, so that a group without any text is seen.
 
     Tasks count about a mebibyte of text at a time with array operations, so what is shuffled is one row per task,
-    group and distinct character, never one row per character, and a very long text needs no more than its own size.
+    group and distinct character, never one row per character. A very long text is held as bytes, as a string and as 32-bit code points while it is
+    counted.
     """
     by = list(by)
     low, lead, step_bytes = TOO_HIGH, LEADING_HYPHEN, STEP_BYTES
@@ -109,7 +120,8 @@ def _partial_counts(
 
 
 def character_counts(frame: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
-    """(by…, code_point, n): how often each character occurs in ``column``."""
+    """(by…, code_point, n): how often each character occurs in ``column``. ``by`` may not use the two names."""
+    _refuse(by, ("code_point", "n"))
     return _partial_counts(frame, column, by).groupBy(*[quoted(c) for c in by], "code_point").agg(F.sum("n").alias("n"))
 
 
@@ -124,8 +136,10 @@ def char_histogram(
 ) -> DataFrame:
     """(by…, bucket, n, label): a count per character 0-255 and one bucket, 256, for all above.
 
-    ``include`` keeps only the listed buckets among 0-255; bucket 256 always stays.
+    ``include`` keeps only the listed buckets among 0-255; bucket 256 always stays. ``by`` may not use the names of the
+    result's other columns, nor ``code_point``.
     """
+    _refuse(by, ("code_point", "bucket", "n", "label"))
     bucket = F.least(F.col("code_point"), F.lit(TOO_HIGH)).alias("bucket")
     counts = _partial_counts(frame, column, by).select(*[quoted(c) for c in by], bucket, "n")
     if include is not None:
@@ -143,7 +157,8 @@ def non_leading_hyphens(text: Column) -> Column:
 
 
 def hyphen_position(frame: DataFrame, column: str) -> DataFrame:
-    """``frame`` with (leading, non_leading) hyphen counts of ``column``."""
+    """``frame`` with (leading, non_leading) hyphen counts of ``column``; it may not have columns of these names."""
+    _refuse(frame.columns, ("leading", "non_leading"))
     text = quoted(column)
     return frame.withColumns(
         {"leading": leading_hyphens(text).cast("bigint"), "non_leading": non_leading_hyphens(text).cast("bigint")}
@@ -157,7 +172,9 @@ def char_class_totals(frame: DataFrame, column: str, by: Sequence[str] = ()) ->
     Letters are Unicode letters; typeable is the space to the tilde. Characters that rule out a number are typeables
     other than digits, dots and a leading hyphen; those that rule out a date or time are typeables other than digits,
     ``/ : . T Z``, spaces and non-leading hyphens. Classes are decided per counted character, not per occurrence.
+    ``by`` may not use the names of the totals, nor ``code_point`` and ``n``.
     """
+    _refuse(by, (*CLASSES, "code_point", "n"))
     n, point = F.col("n"), F.col("code_point")
     char = F.decode(F.unhex(F.lpad(F.hex(F.greatest(point, F.lit(0))), 8, "0")), "UTF-32")
     real = point != LEADING_HYPHEN

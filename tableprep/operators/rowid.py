@@ -2,23 +2,59 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tableprep.functions.columns import is_plain_scan, quoted
+from tableprep.errors import SchemaError
+from tableprep.functions.columns import fresh_name, is_plain_scan, quoted
 from tableprep.storage import part_order, scratch_dir
 
 BROADCAST_FILES = 100_000
+#: Bits of an id for the place in a file: up to 8 billion rows.
+FILE_ROW_BITS = 33
+
+
+def _numbered(frame: DataFrame, name: str, row_id: Column) -> list[Column]:
+    """The columns of ``frame`` with ``row_id`` in the place of a column already called ``name``, else in front."""
+    if name.lower() not in [c.lower() for c in frame.columns]:
+        return [row_id.alias(name), *[quoted(c) for c in frame.columns]]
+    return [row_id.alias(name) if c.lower() == name.lower() else quoted(c) for c in frame.columns]
 
 
 def surrogate_id(frame: DataFrame, name: str = "seqnum", offset: int = 0) -> DataFrame:
-    """Unique, not dense ids in front of the columns; narrow, no shuffle. Ids change when the job runs again.
+    """Unique, not dense ids in front of the columns; narrow, no shuffle. Ids change when the job runs again. A column
+    already called ``name`` is numbered anew in its place.
 
     Meant for rows straight from files: after a shuffle a repeated task may meet its rows in another order, and rows
-    already passed on would keep the old ids.
+    already passed on would keep the old ids; ``reproducible_id`` has no such limit.
+    """
+    return frame.select(*_numbered(frame, name, F.monotonically_increasing_id() + F.lit(offset).cast("bigint")))
+
+
+def reproducible_id(frame: DataFrame, name: str = "seqnum", offset: int = 0) -> DataFrame:
+    """Unique, not dense ids that only depend on where a row is stored: the rank of its file among the files of the frame,
+    by path, and its place in the file.
+
+    Equal on every run, however the scan is cut into tasks, whatever filters and columns are chosen and after lost
+    executors, as long as the files stay. For frames that come straight from Parquet files; others are an error. The
+    ranks are one row for each file, broadcast up to ``BROADCAST_FILES`` of them.
     """
-    return frame.select((F.monotonically_increasing_id() + F.lit(offset).cast("bigint")).alias(name), "*")
+    if not is_plain_scan(frame, "row_index"):
+        raise SchemaError("rows have a place of their own only straight from Parquet files; use surrogate_id")
+    spark = frame.sparkSession
+    path, rank = fresh_name(frame, "path"), fresh_name(frame, "rank")
+    files = sorted({re.sub("^([A-Za-z0-9]+):/+", r"\1:/", file) for file in frame.inputFiles()})
+    ranks = spark.createDataFrame([(file, i) for i, file in enumerate(files)], T.StructType([
+        T.StructField(path, T.StringType()), T.StructField(rank, T.LongType())]))
+    if len(files) <= BROADCAST_FILES:
+        ranks = F.broadcast(ranks)
+    row = fresh_name(frame, "row")
+    here = F.regexp_replace("_metadata.file_path", "^([A-Za-z0-9]+):/+", "$1:/")
+    placed = frame.select("*", here.alias(path), F.col("_metadata.row_index").alias(row)).join(ranks, path, "left")
+    known = F.coalesce(F.col(rank), F.raise_error(F.lit("a file that was not listed")).cast("bigint"))
+    return placed.select(*_numbered(frame, name, F.shiftleft(known, FILE_ROW_BITS) + F.col(row) + F.lit(offset).cast("bigint")))
 
 
 def _ranges(frame: DataFrame) -> int | None:
@@ -49,25 +85,26 @@ def dense_row_id(
     spark = frame.sparkSession
     order = [quoted(k) for k in keys]
     location = location or scratch_dir(spark, "rowid") + "/rows"
-    tied = frame.withColumn("__origin", F.monotonically_increasing_id())
-    bounds = [*order, F.col("__origin")]
+    origin, file, shift, row = (fresh_name(frame, taken) for taken in ("origin", "file", "shift", "row"))
+    tied = frame.withColumn(origin, F.monotonically_increasing_id())
+    bounds = [*order, F.col(origin)]
     ranges = num_partitions or _ranges(frame)
     ranged = tied.repartitionByRange(*bounds) if ranges is None else tied.repartitionByRange(ranges, *bounds)
-    ranged.sortWithinPartitions(*bounds).drop("__origin").write.parquet(location)
+    ranged.sortWithinPartitions(*bounds).drop(origin).write.parquet(location)
 
     written = spark.read.schema(frame.schema).parquet(location)
     file_name = F.col("_metadata.file_name")
-    sizes = written.groupBy(file_name.alias("__file")).count().collect()
+    sizes = written.groupBy(file_name.alias(file)).count().collect()
     shifts, total = [], start
-    for file, rows in sorted(sizes, key=lambda size: part_order(size[0])):
-        shifts.append((file, total))
+    for name_of_file, rows in sorted(sizes, key=lambda size: part_order(size[0])):
+        shifts.append((name_of_file, total))
         total += rows
-    shift = spark.createDataFrame(shifts, "__file string, __shift bigint")
+    before = spark.createDataFrame(shifts, T.StructType([T.StructField(file, T.StringType()), T.StructField(shift, T.LongType())]))
     if len(shifts) <= BROADCAST_FILES:
-        shift = F.broadcast(shift)
-    placed = written.select("*", file_name.alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    row_id = (F.col("__shift") + F.col("__row")).alias(name)
+        before = F.broadcast(before)
+    placed = written.select("*", file_name.alias(file), F.col("_metadata.row_index").alias(row))
+    row_id = (F.col(shift) + F.col(row)).alias(name)
     columns = [row_id if c.lower() == name.lower() else quoted(c) for c in frame.columns]
     if name.lower() not in [c.lower() for c in frame.columns]:
         columns.append(row_id)
-    return placed.join(shift, "__file").select(*columns)
+    return placed.join(before, file).select(*columns)

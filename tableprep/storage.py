@@ -63,6 +63,27 @@ def rename(spark: SparkSession, source: str, target: str) -> bool:
     return fs.rename(hadoop, spark._jvm.org.apache.hadoop.fs.Path(target))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop = hadoop_path(spark, path)
+    return fs.exists(hadoop)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Drop a file, or a directory with all it holds; nothing happens where there is none."""
+    fs, hadoop = hadoop_path(spark, path)
+    fs.delete(hadoop, True)
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file, written by the driver."""
+    fs, hadoop = hadoop_path(spark, path)
+    stream = fs.create(hadoop, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 _handed_out: dict[str, list[str]] = {}
 
 
