@@ -99,3 +99,32 @@ def test_a_failed_publication_leaves_the_old_table(spark, monkeypatch):
     manifest = Path(re.sub("^file:/+", "/", f"{path}/{range_named.MANIFEST}")).read_text()
     size = next(e.length for e in list_children(spark, path))
     assert manifest == f"table-single.snappy.parquet\t{size}\n"
+
+
+def test_ids_by_bounds_and_by_written_ranges(spark):
+    base = scratch_dir(spark, "test")
+    hot = F.when(F.col("id") % 3 > 0, F.lit("hot")).when(F.col("id") % 2 == 0, F.col("id").cast("string"))
+    spark.range(0, 3000, 1, 3).select("id", hot.alias("k"), F.lit(0).alias("row_id"), F.lit("p").alias("path")).write.parquet(f"{base}/t")
+    table = spark.read.parquet(f"{base}/t")
+    quick = dense_row_id(table, ["k", "id"], start=5, num_partitions=7)
+    written = dense_row_id(table, ["k", "id"], start=5, num_partitions=7, location=f"{base}/ids")
+    assert rows(quick) == rows(written) and quick.dtypes == written.dtypes
+    assert not any(e.name.startswith("tableprep-rowid") for e in list_children(spark, base))
+    tied = dense_row_id(table, ["k"], num_partitions=9)
+    assert [r.row_id for r in tied.orderBy("row_id").collect()] == list(range(1, 3001))
+    keys = [r.k for r in tied.orderBy("row_id").collect()]
+    assert keys == sorted(keys, key=lambda k: (k is not None, k or ""))
+    assert rows(tied) == rows(dense_row_id(table, ["k"], num_partitions=4))
+    assert dense_row_id(table.drop("row_id"), ["k"]).columns == ["id", "k", "path", "row_id"]
+    assert dense_row_id(table.where("id < 0"), ["k"]).count() == 0 and dense_row_id(table.limit(1), ["k"]).first().row_id == 1
+
+
+def test_characters_of_malformed_and_mixed_texts(spark):
+    values = [b"a\xff", b"\xc3", b"\xa9x", "é€😀".encode(), b"", b"plain", None, b"\x80\x80"]
+    for some in ([values[3], values[4], values[5]], [values[5]] * 3, values, [values[1], values[2]]):
+        frame = spark.createDataFrame([(bytearray(v) if v is not None else None,) for v in some], "t binary").coalesce(1)
+        want = {}
+        for v in some:
+            for c in (v or b"").decode("utf-8", "replace"):
+                want[ord(c)] = want.get(ord(c), 0) + 1
+        assert {r.code_point: r.n for r in character_counts(frame.select(F.col("t").cast("string").alias("t")), "t").collect()} == want
