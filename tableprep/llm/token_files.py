@@ -12,13 +12,15 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from tableprep.llm.batches import raw, slices, text
+from tableprep.llm.batches import raw, slices
 
 MAGIC = b"DAC1"
 HEADER = struct.Struct("<4sIIIQI")  # magic, part, number in the part, documents, ids, levels
@@ -92,9 +94,9 @@ class TokenFile:
         return out
 
 
-#: Fixed patterns: words of plain Latin letters and ASCII signs, and how the tokenizer cuts them once their letters are
+#: Fixed patterns: what is no word of plain Latin letters and ASCII signs, and how the tokenizer cuts them once their letters are
 #: small ones.
-PLAIN = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
+NOT_PLAIN = re.compile(r"[^\x00-\x7fÀ-ÖØ-öø-ÿ]|<\|")
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\x09-\x0D\x20a-z0-9ß-öø-ÿ]+")
 WORD_END = "</w>"
 LOT = 200
@@ -144,20 +146,25 @@ class _Words:
         self.known.update(zip(kept, map(self.older.__getitem__, kept), strict=True))
         if len(self.pieces) > MOST_WORDS:
             self.pieces.clear()
-        plain, cuts, other = [], [], []
-        for word in new.difference(kept):
-            string = text(word)
-            if "<|" not in string and PLAIN.fullmatch(string):
-                plain.append(word), cuts.append(PIECES.findall(string.lower()))
-            else:
-                other.append(word)
-        unknown = list(set().union(*cuts).difference(self.pieces))
+        rest = list(new.difference(kept))
+        if not rest:
+            return
+        # all words at once: none holds a line feed
+        together = b"\n".join(rest).decode("utf-8", "replace")
+        lowered = together.lower().split("\n")
+        if NOT_PLAIN.search(together):
+            strings = together.split("\n")
+            is_plain = [NOT_PLAIN.search(string) is None for string in strings]
+            others = list(compress(rest, map(not_, is_plain)))
+            self.known.update(zip(others, self._whole(list(compress(strings, map(not_, is_plain)))), strict=True))
+            rest, lowered = list(compress(rest, is_plain)), list(compress(lowered, is_plain))
+        cuts = list(map(PIECES.findall, lowered))
+        unknown = list(set(chain.from_iterable(cuts)).difference(self.pieces))
         for first in range(0, len(unknown), LOT):
             lot = unknown[first:first + LOT]
             self.pieces.update(zip(lot, self._joined(lot), strict=True))
         ids = self.pieces.__getitem__
-        self.known.update(zip(plain, [ids(one[0]) if len(one) == 1 else b"".join(map(ids, one)) for one in cuts], strict=True))
-        self.known.update(zip(other, self._whole([text(word) for word in other]), strict=True))
+        self.known.update(zip(rest, [ids(one[0]) if len(one) == 1 else b"".join(map(ids, one)) for one in cuts], strict=True))
 
 
 @lru_cache(maxsize=2)
@@ -188,7 +195,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
 
         for batch in slices(batches, text_column, 1 << 20):
             split = [data.split() for data in raw(batch.column(text_column))]
-            words.learn({word for one in split for word in one})
+            words.learn(set(chain.from_iterable(split)))
             for doc_id, one in zip(batch.column(id_column).to_pylist(), split, strict=True):
                 ids = b"".join([*map(words.known.__getitem__, one), end])
                 if held[0] and size + len(ids) // 4 > ids_per_file:
