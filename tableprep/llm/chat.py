@@ -31,7 +31,7 @@ def unescape(string: str) -> str:
 
 
 def escaped(column: Column) -> Column:
-    return F.replace(F.coalesce(column, F.lit("")), F.lit("<|"), F.lit("<||"))
+    return F.replace(F.make_valid_utf8(F.coalesce(column, F.lit(""))), F.lit("<|"), F.lit("<||"))
 
 
 def render(conversations: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role",
@@ -40,7 +40,7 @@ def render(conversations: DataFrame, conversation: str = "conv_id", turn: str =
     each conversation.
 
     Turns stand by ``turn``, nulls first, equal ones by role and text; repeated rows stay. Null roles and texts count
-    as empty, a null conversation id is an id. Turns are rendered before the shuffle; a conversation is one row of the
+    as empty, malformed UTF-8 as U+FFFD, a null conversation id is an id. Turns are rendered before the shuffle; a conversation is one row of the
     result, so its turns have to meet."""
     said = conversations.select(
         F.col(conversation).alias("id"), F.col(turn).alias("turn"), escaped(F.col(role)).alias("role"),
