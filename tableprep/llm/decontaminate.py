@@ -6,7 +6,7 @@ joined as written, in small letters and without punctuation, since both decide w
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -128,6 +128,15 @@ def window_hashes(codes: np.ndarray, written: np.ndarray, window: int) -> tuple[
     return as_written ^ _SECOND, as_template, (literal >= 2) & (literal < window)
 
 
+def whole_hashes(written: np.ndarray, length: int) -> np.ndarray:
+    """Hashes as written of the windows of ``length`` words, apart from those of other lengths."""
+    n = max(0, len(written) - length + 1)
+    found = np.full(n, length, dtype=np.uint64)
+    for j in range(length):
+        found = found * _BASE + written[j:j + n]
+    return found ^ (found >> np.uint64(31)) * _SECOND
+
+
 def _bit(hashes: np.ndarray, second: bool) -> np.ndarray:
     return ((np.multiply(hashes, _SECOND) if second else hashes) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
@@ -138,19 +147,21 @@ def _met(field: np.ndarray, hashes: np.ndarray, places: np.ndarray) -> np.ndarra
 
 
 WINDOWS = T.StructType([
-    T.StructField("window", T.LongType()), T.StructField("at", T.IntegerType()),
+    T.StructField("window", T.LongType()), T.StructField("at", T.IntegerType()), T.StructField("length", T.IntegerType()),
     T.StructField("slots", T.ArrayType(T.StringType())), T.StructField("places", T.ArrayType(T.IntegerType())),
     T.StructField("as_written", T.BooleanType()), T.StructField("alike", T.IntegerType()),
     T.StructField("bits", T.ArrayType(T.LongType())),
 ])
 
 
-def template_windows(docs: DataFrame, id_column: str, text_column: str, window: int = WINDOW, wanted=None) -> DataFrame:
+def template_windows(docs: DataFrame, id_column: str, text_column: str, window: int = WINDOW, wanted=None,
+                     short: Sequence[int] = ()) -> DataFrame:
     """``id`` and, for each window of the row, its hash ``as_written`` and, where it has a placeholder, that of its
     template, with its place and the words that stand in placeholders with theirs. Without ``wanted`` the rows are
     benchmark items: ``alike`` is the first place of the same template, and the first window of one that begins with a
     capital letter comes again with a name there. ``wanted``: a broadcast bit field of ``2 ** FILTER_BITS`` bits; windows
-    it does not have are left out, and those it has by chance the join drops."""
+    it does not have are left out, and those it has by chance the join drops. An item of fewer words than a window is one
+    window of its own length, as written only; ``short`` are the lengths that documents are searched for besides."""
     schema = T.StructType([T.StructField("id", docs.schema[id_column].dataType), *WINDOWS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,6 +173,8 @@ def template_windows(docs: DataFrame, id_column: str, text_column: str, window:
             for row, data in enumerate(raw(batch.column(text_column))):
                 tokens, codes, written = template(data, words)
                 hashes, templates, templated = window_hashes(codes, written, window)
+                if field is None and 0 < len(tokens) < window:
+                    hashes, templates, templated = whole_hashes(written, len(tokens)), np.zeros(1, np.uint64), np.zeros(1, bool)
                 places, slotted, alike = np.arange(len(hashes)), np.flatnonzero(templated), {}
                 if field is not None:
                     places, slotted = _met(field, hashes, places), _met(field, templates, slotted)
@@ -173,6 +186,7 @@ def template_windows(docs: DataFrame, id_column: str, text_column: str, window:
                     rows.append(row)
                     out["window"].append(int(value.view(np.int64)))
                     out["at"].append(place)
+                    out["length"].append(min(window, len(tokens)) if field is None else window)
                     out["slots"].append([plain(core(text(tokens[place + i]))) for i in slot])
                     out["places"].append([place + i for i in slot])
                     out["as_written"].append(as_written)
@@ -187,7 +201,11 @@ def template_windows(docs: DataFrame, id_column: str, text_column: str, window:
                     add(place, hashes[place], True)
                 for place in slotted.tolist():
                     add(place, templates[place], False)
-                if field is None and len(hashes) and words.flags[words[tokens[0]]] & _CAPITAL:
+                for length in short:
+                    hashes = whole_hashes(written, length)
+                    for place in _met(field, hashes, np.arange(len(hashes))).tolist():
+                        add(place, hashes[place], True)
+                if field is None and len(tokens) >= window and words.flags[words[tokens[0]]] & _CAPITAL:
                     codes[0] = _NAME_CODE  # the item may stand within a sentence of a document
                     _, templates, templated = window_hashes(codes[:window], written[:window], window)
                     if templated[0]:
@@ -199,7 +217,7 @@ def template_windows(docs: DataFrame, id_column: str, text_column: str, window:
     return docs.select(id_column, text_column).mapInArrow(run, schema)
 
 
-_ARROW = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.bool_(), pa.int32(), pa.list_(pa.int64())]
+_ARROW = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.bool_(), pa.int32(), pa.list_(pa.int64())]
 
 
 def _field_of(windows: DataFrame) -> bytes:
@@ -219,45 +237,57 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     with other numbers, names or units in its places), and ``same_items`` (sorted ids of all items the row speaks for).
 
     A pair counts if at least ``min_coverage`` of the item's different template windows of ``window`` words stand in
-    the document, as template or as written but for capitals and punctuation, at places where the same item value
-    always meets the same document value. Items that share a whole
-    template and its values are one, named by the smallest id; those of other values are searched each for itself. Items with fewer words than a window, and null or empty texts, match
-    nothing. Rows repeated under one id count once. Empty tables give no rows. Ids may be null."""
+    the document. A window met as written, but for capitals and punctuation, counts whatever stands elsewhere. One met as a
+    template counts if its values are those that the item's values take: in an alignment of item and document, each item
+    value takes the document value that most windows give it, itself if as many do. So one edited number costs no more
+    than the windows that hold it, as an edited word does.
+
+    Items that share a whole template and its values are one, named by the smallest id; those of other values are
+    searched each for itself. An item with fewer words than a window is one window of its own length, as written. Null and
+    empty texts match nothing. Different texts of one id are searched apart, and the best of them is the id's row, as with
+    different texts of one item id; repeated rows count once. Empty tables give no rows. Ids may be null."""
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_column).alias("item"), F.col(text_column).alias("body"))
-    found = stored(template_windows(items, "item", "body", window).withColumnRenamed("id", "item"), "benchmark")
+
+    def keyed(frame: DataFrame, key: str, name: str) -> DataFrame:
+        body = F.col(text_column)
+        return frame.select(F.struct(
+            F.col(key).isNull().alias("no_id"), F.col(key).alias("id"), F.xxhash64(body).alias("text")).alias(name), body.alias("body"))
+
+    found = stored(template_windows(keyed(benchmark, item_column, "item"), "item", "body", window).withColumnRenamed("id", "item"), "benchmark")
+    short = sorted(row.length for row in found.where(F.col("length") < window).select("length").distinct().collect())
     first = F.struct("at", "slots", "places")
     unique = found.groupBy("item", "window", "as_written", "alike").agg(F.min(first).alias("f")).select(
         "item", "window", "as_written", "alike", "f.*")
     every = F.xxhash64(F.array_sort(F.collect_set(F.struct("window", "at", "slots", "places")))).alias("whole")
-    whole = found.groupBy("item").agg(every).withColumnRenamed("item", "of").join(
-        unique.groupBy("item").agg(F.count_distinct("alike").alias("n_windows")), F.col("of").eqNullSafe(F.col("item"))).drop("of")
+    whole = found.groupBy("item").agg(every).join(unique.groupBy("item").agg(F.count_distinct("alike").alias("n_windows")), "item")
     named = whole.groupBy("whole", "n_windows").agg(
-        F.min("item").alias("item"), F.array_sort(F.collect_list("item")).alias("same_items"))
-    asked = unique.join(named.select("item", "n_windows"), unique["item"].eqNullSafe(named["item"])).select(
-        named["item"], "n_windows", "window", "alike", F.col("as_written").alias("item_as_written"),
-        F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), F.col("places").alias("item_places"))
+        F.min("item").alias("item"), F.array_distinct(F.transform(F.array_sort(F.collect_list("item")), lambda i: i["id"])).alias("same_items"))
+    asked = unique.join(named.select("item", "n_windows"), "item").select(
+        "item", "n_windows", "window", "alike", F.col("as_written").alias("item_as_written"),
+        F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
     wanted = spark.sparkContext.broadcast(_field_of(found))
-    in_docs = template_windows(docs, id_column, text_column, window, wanted).select("id", "window", "at", "slots")
-    met = in_docs.join(asked, "window").withColumn("slots", F.when(F.col("item_as_written"), F.col("item_slots")).otherwise(F.col("slots")))
-    slots = F.arrays_zip(F.col("item_places").alias("place"), F.col("item_slots").alias("asked"), F.col("slots").alias("given"))
-    runs = met.groupBy("id", "item", "n_windows", (F.col("at") - F.col("item_at")).alias("shift")).agg(
-        F.collect_set("alike").alias("hit"), F.collect_set(F.when(F.col("item_slots") == F.col("slots"), F.col("alike"))).alias("same"),
-        F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"))
-
-    def kinds(of) -> F.Column:
-        return F.size(F.array_distinct(F.transform("slots", of)))
-
-    consistent = (
-        (kinds(lambda s: s["place"]) == kinds(lambda s: F.struct(s["place"], s["given"])))
-        & (kinds(lambda s: s["asked"]) == kinds(lambda s: F.struct(s["asked"], s["given"])))
-    )
-    pairs = runs.where(consistent).groupBy("id", "item", "n_windows").agg(
-        F.array_distinct(F.flatten(F.collect_set("hit"))).alias("hit"), F.flatten(F.collect_set("same")).alias("same"))
+    in_docs = template_windows(keyed(docs, id_column, "id"), "id", "body", window, wanted, short).select("id", "window", "at", "slots")
+    run = ["id", "item", "n_windows", "shift"]
+    met = stored(in_docs.join(asked, "window").select(
+        "id", "item", "n_windows", (F.col("at") - F.col("item_at")).alias("shift"), "alike", "item_as_written", "item_slots",
+        F.when(F.col("item_as_written"), F.col("item_slots")).otherwise(F.col("slots")).alias("slots")).distinct(), "met")
+    pair = F.explode(F.arrays_zip(F.col("item_slots").alias("asked"), F.col("slots").alias("given"))).alias("pair")
+    votes = met.select(*run, "alike", pair).groupBy(*run, "pair.asked", "pair.given").agg(F.count_distinct("alike").alias("n"))
+    taken = votes.groupBy(*run, "asked").agg(
+        F.max_by("given", F.struct("n", F.col("asked") == F.col("given"), "given")).alias("given"))
+    values = taken.groupBy(*run).agg(F.map_from_entries(F.collect_list(F.struct("asked", "given"))).alias("values"))
+    own = F.arrays_zip(F.col("item_slots").alias("asked"), F.col("slots").alias("given"))
+    agrees = F.forall(own, lambda s: F.element_at("values", s["asked"]) == s["given"])
+    counted = met.join(values, run, "left").where(F.col("item_as_written") | F.coalesce(agrees, F.lit(False)))
+    pairs = counted.groupBy("id", "item", "n_windows").agg(
+        F.collect_set("alike").alias("hit"), F.collect_set(F.when(F.col("item_slots") == F.col("slots"), F.col("alike"))).alias("same"))
     coverage = F.size("hit") / F.col("n_windows")
-    good = pairs.withColumn("coverage", coverage).where(F.col("coverage") >= min_coverage)
-    members = named.select(F.col("item").alias("member_of"), "same_items")
-    return good.join(members, F.col("item").eqNullSafe(F.col("member_of"))).select(
-        F.col("id").alias(id_column), F.col("item").alias(item_column), F.col("n_windows").cast("long"),
-        F.size("hit").cast("long").alias("matched"), "coverage",
-        F.when(F.size(F.array_except("hit", "same")) > 0, "reparameterised").otherwise("copy").alias("kind"), "same_items")
+    good = pairs.withColumn("coverage", coverage).where(F.col("coverage") >= min_coverage).join(named.select("item", "same_items"), "item")
+    rows = good.select(
+        F.col("id.id").alias("id"), F.col("item.id").alias("item"), F.struct(
+            "coverage", (F.size(F.array_except("hit", "same")) == 0).alias("is_copy"), F.size("hit").cast("long").alias("matched"),
+            F.col("n_windows").cast("long").alias("n_windows"), "same_items").alias("row"))
+    best = rows.groupBy("id", "item").agg(F.max("row").alias("row"))
+    return best.select(
+        F.col("id").alias(id_column), F.col("item").alias(item_column), "row.n_windows", "row.matched", "row.coverage",
+        F.when(F.col("row.is_copy"), "copy").otherwise("reparameterised").alias("kind"), "row.same_items")
