@@ -26,7 +26,8 @@ MAGIC = b"DAC1"
 HEADER = struct.Struct("<4sIIIQI")  # magic, part, number in the part, documents, ids, levels
 BLOCK = 512
 IDS_PER_FILE = 1 << 22
-MOST_WORDS = 300_000
+MOST_WORDS = 200_000
+MOST_PIECES = 300_000
 
 
 def pack(doc_ids: list, counts: list[int], ids: np.ndarray, part: int = 0, number: int = 0) -> bytes:
@@ -131,7 +132,7 @@ class _Words:
         return [np.array(one.ids, dtype=np.uint32).tobytes() for one in found]
 
     def _joined(self, pieces: list[str]) -> list[bytes]:
-        ids = np.array(self.plain.encode(" ".join(pieces), add_special_tokens=False).ids, dtype=np.uint32)
+        ids = np.array(self.plain.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, dtype=np.uint32)
         cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
         if len(cuts) != len(pieces):  # a vocabulary without marks of word ends
             return self._whole(pieces)
@@ -144,7 +145,7 @@ class _Words:
             self.older, self.known, new = self.known, {}, words
         kept = [word for word in new if word in self.older]
         self.known.update(zip(kept, map(self.older.__getitem__, kept), strict=True))
-        if len(self.pieces) > MOST_WORDS:
+        if len(self.pieces) > MOST_PIECES:
             self.pieces.clear()
         rest = list(new.difference(kept))
         if not rest:
@@ -158,7 +159,7 @@ class _Words:
             others = list(compress(rest, map(not_, is_plain)))
             self.known.update(zip(others, self._whole(list(compress(strings, map(not_, is_plain)))), strict=True))
             rest, lowered = list(compress(rest, is_plain)), list(compress(lowered, is_plain))
-        cuts = list(map(PIECES.findall, lowered))
+        cuts = [[word] if word.isalpha() else PIECES.findall(word) for word in lowered]
         unknown = list(set(chain.from_iterable(cuts)).difference(self.pieces))
         for first in range(0, len(unknown), LOT):
             lot = unknown[first:first + LOT]
