@@ -2,7 +2,7 @@
 
 from tableprep.errors import EmptyInputError, ReadError, SchemaError, SqlError, TablePrepError, WriteError
 from tableprep.operators.colnames import (
-    reserved_word_columns, reserved_word_names, safe_column_names, strip_common_prefix,
+    reserved_word_columns, reserved_word_names, safe_column_names, strip_common_prefix, stripped_prefix,
 )
 from tableprep.operators.generate import estimate_pi, generate_bulk, pi_of_points, random_block, random_points
 from tableprep.operators.imposed import (
@@ -44,6 +44,6 @@ __all__ = [
     "recommend_partitions", "rename_parts", "reproducible_id", "reserved_word_columns", "reserved_word_names", "resolve_types",
     "resolved_union", "resolved_union_paths", "row_count", "safe_column_names", "save_prefixed_table",
     "schema_report", "select_columns_ci", "show_string", "source_tag", "sql_file_job", "sql_query",
-    "strip_common_prefix", "surrogate_id", "value_counts", "view_from_parquet", "write_csv",
+    "strip_common_prefix", "stripped_prefix", "surrogate_id", "value_counts", "view_from_parquet", "write_csv",
     "write_gzip_intermediate", "write_orc", "write_parquet", "write_range_named", "write_text", "write_text_blob",
 ]

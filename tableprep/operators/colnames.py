@@ -20,11 +20,17 @@ def common_prefix(names: Sequence[str]) -> str:
     return low[: low.rfind(".", 0, shared) + 1]
 
 
+def stripped_prefix(frame: DataFrame) -> str:
+    """What ``strip_common_prefix`` takes off the names of ``frame``; an empty string if it leaves them as they are."""
+    prefix = common_prefix(frame.columns)
+    return "" if prefix in frame.columns else prefix
+
+
 def strip_common_prefix(frame: DataFrame) -> DataFrame:
     """Drop the prefix all column names share, up to its last dot; names without one stay as they are, and so do all
-    when a name would be left empty."""
-    prefix = common_prefix(frame.columns)
-    return frame if prefix in frame.columns else frame.toDF(*[name[len(prefix):] for name in frame.columns])
+    when a name would be left empty. ``stripped_prefix`` tells which it is."""
+    prefix = stripped_prefix(frame)
+    return frame.toDF(*[name[len(prefix):] for name in frame.columns]) if prefix else frame
 
 
 def is_reserved(name: Column) -> Column:

@@ -13,6 +13,8 @@ from tableprep.functions.fixed import MONEY_COMMENT
 from tableprep.operators.reconcile import observe, resolve_types, scans_by_layout
 from tableprep.operators.rowid import surrogate_id
 from tableprep.plans.projection import aligned, by_lower_name, union_all
+from tableprep.sinks.writers import write_gzip_intermediate
+from tableprep.sources.readers import read_parquet
 
 
 @dataclass(frozen=True)
@@ -140,12 +142,14 @@ def imposed_union_paths(
     id_name: str | None = None,
     id_offset: int = 0,
     view_name: str | None = None,
+    stored_for: str | None = None,
 ) -> DataFrame:
     """Discover the tables under ``paths`` and reduce them to ``columns`` under the declared ``schema``.
 
-    Without a schema the types are resolved from the tables. ``id_name`` puts unique ids in front. The result is
-    registered as ``view_name``; ``write_gzip_intermediate`` stores it beside the raw tables. One scan per distinct
-    schema, not per table.
+    Without a schema the types are resolved from the tables. ``id_name`` puts unique ids in front. With ``stored_for``, a
+    raw path, the result is written as gzip Parquet beside it (see ``write_gzip_intermediate``) and read from there; it
+    is an error if something is stored there already. The result is registered as ``view_name``. One scan per
+    distinct schema, not per table.
     """
     frames = scans_by_layout(spark, paths)
     if schema is None:
@@ -154,6 +158,8 @@ def imposed_union_paths(
         result = imposed_union(frames, columns, schema, rules)
     if id_name is not None:
         result = surrogate_id(result, id_name, id_offset)
+    if stored_for is not None:
+        result = read_parquet(spark, write_gzip_intermediate(result, stored_for), schema=result.schema)
     if view_name is not None:
         result.createOrReplaceTempView(view_name)
     return result

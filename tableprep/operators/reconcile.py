@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tableprep.errors import VIEW_FROM_PARQUET_CODE, SchemaError
 from tableprep.functions.columns import source_path
 from tableprep.functions.types import distinct_types, reader_widens, resolve_type, type_of_default, type_of_text
+from tableprep.operators.rowid import dense_row_id
 from tableprep.plans.projection import aligned, by_lower_name, union_all
 from tableprep.sources.listing import FoundTable, find_tables, partition_columns, with_base
 from tableprep.sources.readers import read_parquet
@@ -206,9 +207,11 @@ def resolved_union_paths(
     tag_pattern: str = LEAF_DIRECTORY,
     mixed_numeric: str = "string",
     view_name: str | None = None,
+    numbered: tuple[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Discover the tables under ``paths`` and union them under one resolved schema, registered as ``view_name``.
 
+    ``numbered``, a column and the keys it follows, numbers the rows of the union anew, 1, 2, 3 … (``dense_row_id``).
     Tables may be laid out differently: what is a directory name in one may be a column in another. The plan has one scan per distinct schema, not one per table, so thousands of daily tables stay plannable.
     """
     instances = open_instances(spark, paths)
@@ -218,6 +221,8 @@ def resolved_union_paths(
     replaced = {} if tag_column is None else {tag_column.lower(): source_tag(tag_pattern)}
     groups = _scan_groups(instances, target, fill)
     result = union_all([aligned(_scan(spark, schema, group), tagged, fill, replaced) for schema, group in groups])
+    if numbered is not None:
+        result = dense_row_id(result, numbered[1], numbered[0])
     if view_name is not None:
         result.createOrReplaceTempView(view_name)
     return result

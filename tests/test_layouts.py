@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from tableprep import discover_tables, imposed_union_paths, resolved_union_paths
-from tableprep.errors import SchemaError
+from tableprep import discover_tables, imposed_union_paths, resolved_union_paths, strip_common_prefix, stripped_prefix
+from tableprep.errors import SchemaError, WriteError
 from tableprep.functions.types import type_of_text
 from tableprep.operators.reconcile import open_instances
 from tableprep.storage import list_children, rename, scratch_dir
@@ -82,3 +82,21 @@ def test_types_of_values():
     assert {v: type_of_text(v).simpleString() for v in ("0", "-5", "05", "-0", str(2**31), str(2**63), "1.5", "1.50", "1e3", "", "2020-02-29", "2021-02-29")} == {
         "0": "int", "-5": "int", "05": "string", "-0": "string", str(2**31): "bigint", str(2**63): "string", "1.5": "double",
         "1.50": "string", "1e3": "string", "": "string", "2020-02-29": "date", "2021-02-29": "string"}
+
+
+def test_unions_numbered_anew_and_stored(spark):
+    base = scratch_dir(spark, "test")
+    spark.range(3).select("id", F.lit(9).alias("n")).write.parquet(f"{base}/raw/t/a")
+    spark.range(3, 5).select("id", F.lit(9).alias("n")).write.parquet(f"{base}/raw/t/b")
+    assert rows(resolved_union_paths(spark, [f"{base}/raw/t"], numbered=("n", ["id"]))) == [(i, i + 1) for i in range(5)]
+    stored = imposed_union_paths(spark, [f"{base}/raw/t"], "id", stored_for=f"{base}/raw/t", view_name="stored_t")
+    assert rows(stored) == [(i,) for i in range(5)] == rows(spark.table("stored_t"))
+    assert all(e.name.endswith(".gz.parquet") for e in list_children(spark, f"{base}/intermediate/t_nppk"))
+    with pytest.raises(WriteError):
+        imposed_union_paths(spark, [f"{base}/raw/t"], "id", stored_for=f"{base}/raw/t")
+
+
+def test_what_was_stripped(spark):
+    dotted = spark.range(1).select(F.lit(1).alias("t.a"), F.lit(2).alias("t.b"))
+    assert (stripped_prefix(dotted), strip_common_prefix(dotted).columns) == ("t.", ["a", "b"])
+    assert (stripped_prefix(spark.range(1)), stripped_prefix(dotted.withColumn("t.", F.lit(1)))) == ("", "")
