@@ -229,10 +229,11 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select *, case when o_orderkey % 5 = 0 then 'late' else 'loaded' end as batch from orders")
 def incremental_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fifth of the orders was missing at the first load and lies at or before its last day, which many orders share."""
-    orders = table(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
-    first = orders.where("o_orderkey % 5 <> 0").withColumn("day", F.lit(datetime.date(2030, 1, 1)))
-    source = orders.withColumn("day", F.when(F.col("o_orderkey") % 5 == 0, F.date_sub(F.lit("2030-01-01"), (F.col("o_orderkey") % 7).cast("int")))
-                               .otherwise(F.lit(datetime.date(2030, 1, 1))))
+    orders, last = table(spark, sf_dir, "orders"), F.lit(datetime.date(2030, 1, 1))
+    is_late = F.col("o_orderkey") % 5 == 0
+    before = F.date_sub(last, (F.col("o_orderkey") % 7).cast("int"))
+    first = orders.where(~is_late).withColumn("day", last)
+    source = orders.withColumn("day", F.when(is_late, before).otherwise(last))
     late = incremental.incremental_load(source, first, "day", ["o_orderkey"], datetime.timedelta(days=6))
     return first.withColumn("batch", F.lit("loaded")).union(late.withColumn("batch", F.lit("late"))).drop("day")
 

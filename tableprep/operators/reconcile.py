@@ -212,7 +212,8 @@ def resolved_union_paths(
     """Discover the tables under ``paths`` and union them under one resolved schema, registered as ``view_name``.
 
     ``numbered``, a column and the keys it follows, numbers the rows of the union anew, 1, 2, 3 … (``dense_row_id``).
-    Tables may be laid out differently: what is a directory name in one may be a column in another. The plan has one scan per distinct schema, not one per table, so thousands of daily tables stay plannable.
+    Tables may be laid out differently: what is a directory name in one may be a column in another. The
+    plan has one scan per distinct schema, not one per table, so thousands of daily tables stay plannable.
     """
     instances = open_instances(spark, paths)
     target = resolve_types(observe([i.schema for i in instances], defaults), mixed_numeric)

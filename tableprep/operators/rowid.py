@@ -16,7 +16,8 @@ BROADCAST_FILES = 100_000
 MOST_BOUNDS = 256
 SKETCH_PER_RANGE = 32
 #: Key types whose values survive the way through Python as they are.
-LITERAL_KEYS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType, T.TimestampNTZType, T.DecimalType, T.BooleanType)
+LITERAL_KEYS = (
+    T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType, T.TimestampNTZType, T.DecimalType, T.BooleanType)
 #: Bits of an id for the place in a file: up to 8 billion rows.
 FILE_ROW_BITS = 33
 

@@ -103,8 +103,10 @@ def read_header_csv(spark: SparkSession, *paths: str, header: bool = True, code:
 def _read_whole(
     spark: SparkSession, paths: Sequence[str], code: int, options: dict[str, object], in_paths: int = 0
 ) -> DataFrame:
-    """Each file by one task from start to end; the last ``in_paths`` columns come from the names of folders. A blank row is held back there until the next row of its file shows that it
-    was not the last: one pass, no shuffle, at most one row held."""
+    """Each file by one task from start to end; the last ``in_paths`` columns come from the names of folders.
+
+    A blank row is held back until the next row of its file shows that it was not the last: one pass, no shuffle, at most
+    one row held."""
     rows = read_csv(spark, *paths, code=code, multiLine=True, **options)
     names = rows.columns
     blank = F.lit(True)
