@@ -283,8 +283,9 @@ def collocations(docs: DataFrame, text_column: str = "text", lang_column: str =
 
     Null texts count as empty, a null language as ``und``; empty tables give no row, repeated rows count again, other
     columns are left out, whatever their names. Ties in score go to the greater count, then the smaller phrase in byte
-    order. Malformed UTF-8 passes as it is. A text of any length is indexed whole; a shard takes about half a million words, or
-    one text. What meets in one task is a block of phrases, whose size does not follow the corpus, or the top of a language's tasks."""
+    order. Malformed UTF-8 passes as it is. A text of any length is indexed whole; a shard takes about half a million
+    words, or one text. What meets in one task is a block of phrases, whose size does not follow the corpus, or what the
+    tasks hold of a language's top."""
     lang = F.coalesce(F.col(lang_column).cast("string"), F.lit(UNDETERMINED))
     texts = docs.select(lang.alias("lang"), F.col(text_column).cast("string").alias("body"))
     counts = stored(phrase_counts(texts, least, longest), "phrases")
