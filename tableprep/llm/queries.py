@@ -214,17 +214,19 @@ ORACLES["op12_collocations"] = r"""
     ), grams as (
         select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase
         from split, (values (1), (2), (3)) as sizes(k)
-    ), counted as (
-        select lang, k, phrase, count(*) as f from grams group by all
+    ), counted as materialized (
+        select lang, k, phrase, count(*) as f from grams group by lang, k, phrase
     ), totals as (
         select lang, sum(f)::bigint as n from counted where k = 1 group by lang
     ), candidates as (
         select lang, k as words, phrase, f as a, string_split(phrase, ' ') as w from counted where k >= 2 and f >= 10
+    ), parts as (
+        select c.*, i, array_to_string(w[1:i], ' ') as left_part, array_to_string(w[i + 1:], ' ') as right_part
+        from candidates c, (values (1), (2)) as places(i) where i < words
     ), cuts as (
-        select c.*, i, l.f as l, r.f as r, (1000000::hugeint * a * a) // (l.f::hugeint * r.f) as score
-        from candidates c, (values (1), (2)) as places(i), counted l, counted r
-        where i < words and l.lang = c.lang and l.phrase = array_to_string(w[1:i], ' ')
-          and r.lang = c.lang and r.phrase = array_to_string(w[i + 1:], ' ')
+        select p.*, l.f as l, r.f as r, (1000000::hugeint * a * a) // (l.f::hugeint * r.f) as score
+        from parts p join counted l on l.lang = p.lang and l.phrase = p.left_part
+        join counted r on r.lang = p.lang and r.phrase = p.right_part
     ), weakest as (
         select * from cuts qualify row_number() over (partition by lang, phrase order by score, i) = 1
     ), longer as (
