@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, types as T
 
 from tableprep.llm.batches import lists, raw, slices, text
 
-MOST_STATES = 120_000
-MOST_PIECES = 150_000
+MOST_STATES = 200_000
+MOST_PIECES = 300_000
 LONGEST_KEPT = 48
 
 
@@ -53,14 +53,18 @@ def merge_greedily(data: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[part] for part in parts]
 
 
-class _State:
-    """``live``: for each position from which a token may still grow, its place in the pending bytes and the tokens
-    that lead to it. The last of them is the position read so far."""
+class _State(dict):
+    """The steps met so far, by byte. ``live``: for each position from which a token may still grow, the node that the
+    bytes since then lead to and the tokens that come before. The last of them is the position read so far."""
 
-    __slots__ = ("left", "live", "pending", "steps")
+    __slots__ = ("left", "live", "make", "pending")
 
-    def __init__(self, left: int | None, pending: bytes, live: tuple):
-        self.left, self.pending, self.live, self.steps = left, pending, live, {}
+    def __init__(self, left: int | None, pending: bytes, live: tuple, make: Callable):
+        self.left, self.pending, self.live, self.make = left, pending, live, make
+
+    def __missing__(self, byte: int) -> tuple:
+        step = self[byte] = self.make(self, byte)
+        return step
 
 
 class Transducer:
@@ -69,17 +73,33 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], most_states: int = MOST_STATES):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.growing = {token[:i] for token in ranks for i in range(1, len(token))}
+        self._plant()
         self.agrees: dict[int, bool] = {}
         self.made_of: dict[int, tuple[int, int] | None] = {}
         self.most_states = most_states
         self.states: dict[tuple[int | None, bytes], _State] = {}
         self._forget()
 
+    def _plant(self) -> None:
+        """The vocabulary as a tree: ``child`` by node and byte, the token that ends at a node, and whether one goes on."""
+        self.child: dict[int, int] = {}
+        self.ending: list[int | None] = [None]
+        self.growing = [False]
+        for token, rank in self.ranks.items():
+            node = 0
+            for byte in token:
+                self.growing[node] = True
+                following = self.child.setdefault(node << 8 | byte, len(self.ending))
+                if following == len(self.ending):
+                    self.ending.append(None)
+                    self.growing.append(False)
+                node = following
+            self.ending[node] = rank
+
     def _forget(self) -> None:
         for state in self.states.values():
-            state.steps.clear()  # steps lead in circles; without them the states go at once
-        self.start = _State(None, b"", ((0, ()),))
+            state.clear()  # steps lead in circles; without them the states go at once
+        self.start = _State(None, b"", ((0, ()),), self._step)
         self.states = {(None, b""): self.start}
 
     def _halves(self, token: int) -> tuple[int, int] | None:
@@ -122,35 +142,38 @@ class Transducer:
         return apart
 
     def _step(self, state: _State, byte: int) -> tuple[_State, tuple]:
-        pending = state.pending + bytes((byte,))
+        child, ending, growing = self.child, self.ending, self.growing
         live, path = [], None
         for place, before in state.live:
-            piece = pending[place:]
-            if path is None and (token := self.ranks.get(piece)) is not None:
+            node = child.get(place << 8 | byte)
+            if node is None:
+                continue
+            if path is None and (token := ending[node]) is not None:
                 left = before[-1] if before else state.left
                 if left is None or self._neighbours(left, token):
                     path = (*before, token)
-            if piece in self.growing:
-                live.append((place, before))
+            if growing[node]:
+                live.append((node, before))
         common = len(path)
         for _, other in live:
             common = min(common, len(other))
             while path[:common] != other[:common]:
                 common -= 1
-        live.append((len(pending), path))
+        live.append((0, path))
         emitted = path[:common]
-        cut = sum([len(self.tokens[token]) for token in emitted])
+        pending = state.pending + bytes((byte,))
+        if emitted:
+            pending = pending[sum([len(self.tokens[token]) for token in emitted]):]
         # what stands to the left matters only where the next token may begin right behind it
         left = emitted[-1] if emitted else state.left
-        key = (left if min([len(other) for _, other in live]) == common else None, pending[cut:])
+        key = (left if any([len(other) == common for _, other in live]) else None, pending)
         following = self.states.get(key)
         if following is None:
             if len(self.states) >= self.most_states:
                 self._forget()
-            following = _State(*key, tuple([(place - cut, other[common:]) for place, other in live]))
+            following = _State(*key, tuple([(node, other[common:]) for node, other in live]), self._step)
             self.states[key] = following
-        step = state.steps[byte] = (following, emitted)
-        return step
+        return following, emitted
 
     def encode(self, data: bytes) -> list[int]:
         whole = self.ranks.get(data)
@@ -158,8 +181,7 @@ class Transducer:
             return [whole]
         state, out = self.start, []
         for byte in data:
-            step = state.steps.get(byte) or self._step(state, byte)
-            state, emitted = step
+            state, emitted = state[byte]
             if emitted:
                 out += emitted
         out += state.live[-1][1]
@@ -271,9 +293,10 @@ class StreamDecoder:
         self.states: dict[bytes, dict] = {b"": {}}
         # steps that lead from the first state back to it, and for which tokens there is none
         closed = [token for token, data in tokens.items() if _well_formed(data)]
-        self.closed = [tokens.get(token) for token in range(max(tokens, default=-1) + 1)]
-        self.open = np.ones(len(self.closed), dtype=bool)
+        every = [tokens.get(token) for token in range(max(tokens, default=-1) + 1)]
+        self.open = np.ones(len(every), dtype=bool)
         self.open[closed] = False
+        self.table = pa.array(every, pa.large_binary())
         self.reset()
 
     def reset(self) -> None:
@@ -293,35 +316,39 @@ class StreamDecoder:
         return step
 
     def feed(self, ids: np.ndarray) -> bytes:
-        """Runs of tokens that keep the machine in its first state are looked up; the others are stepped through."""
-        out, at, n = [], 0, len(ids)
-        stops = np.flatnonzero(self.open[ids]).tolist()
-        stops.append(n)
-        place, known = 0, self.closed.__getitem__
-        while at < n:
-            if not self.pending:
-                while stops[place] < at:
-                    place += 1
-                if stops[place] > at:
-                    out.extend(map(known, ids[at:stops[place]].tolist()))
-                    at = stops[place]
-                    continue
-            out.append(self._walk(ids[at:at + 1].tolist()))
-            at += 1
+        """Tokens that keep the machine in its first state are looked up, all in one call, and taken in runs; the others
+        are stepped through."""
+        data, begins = self._look_up(ids)
+        stops = np.append(np.flatnonzero(self.open[ids]), len(ids))
+        out, at = [], 0
+        if self.pending:
+            at = self._walk(ids, 0, out)
+        for stop, begin in zip(stops.tolist(), begins[stops].tolist(), strict=True):
+            if stop < at:
+                continue
+            out.append(data[begins[at]:begin])
+            at = self._walk(ids, stop, out)
         return b"".join(out)
 
-    def _walk(self, ids: list[int]) -> bytes:
-        out, state = [], self.pending
-        steps = self.states.setdefault(state, {})
-        for token in ids:
-            step = steps.get(token) or self._compose(state, token)
-            if step[0] != state:
-                state = step[0]
-                steps = self.states.setdefault(state, {})
-            out.append(step[1])
-            self.bad += step[2]
+    def _look_up(self, ids: np.ndarray) -> tuple[memoryview, np.ndarray]:
+        """The bytes of ``ids`` in a row, and where each begins."""
+        found = self.table.take(pa.array(ids))
+        _, ends, data = found.buffers()
+        return memoryview(data or b""), np.frombuffer(ends, dtype=np.int64)[found.offset:]
+
+    def _walk(self, ids: np.ndarray, at: int, out: list) -> int:
+        """Steps on from ``at`` until the machine is in its first state again; gives the place behind."""
+        state = self.pending
+        while at < len(ids):
+            token = int(ids[at])
+            state, done, wrong = self.states.setdefault(state, {}).get(token) or self._compose(state, token)
+            out.append(done)
+            self.bad += wrong
+            at += 1
+            if not state:
+                break
         self.pending = state
-        return b"".join(out)
+        return at
 
     def finish(self) -> bytes:
         """What an unfinished sequence at the end holds; it counts as ill-formed."""

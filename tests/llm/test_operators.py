@@ -44,6 +44,31 @@ def test_transducer_agrees_with_greedy_merges(ranks):
         assert machine.encode(data) == want
 
 
+def test_pieces_of_several_files_are_encoded_once():
+    asked = []
+    pieces = bpe._Pieces(type("Counting", (), {"encode": staticmethod(lambda data: asked.append(data) or [len(data)])}))
+    for _ in range(2):
+        for i in range(250_000):
+            assert pieces[f" w{i}"] == len(f" w{i}").to_bytes(4, "little")
+    assert len(asked) == 250_000
+
+
+def test_decoder_takes_long_arrays_in_parts(ranks):
+    tokens, rng = {rank: token for token, rank in ranks.items()}, np.random.default_rng(6)
+    whole, parts = bpe.StreamDecoder(tokens), bpe.StreamDecoder(tokens)
+    opened = np.flatnonzero(whole.open)
+    for share in (0, 0.02, 0.5, 1):
+        ids = np.where(rng.random(3000) < share, rng.choice(opened, 3000), rng.integers(0, len(tokens), 3000)).astype(np.int32)
+        want = b"".join(tokens[token] for token in ids.tolist())
+        whole.reset(), parts.reset()
+        assert whole.feed(ids) + whole.finish() == want
+        assert b"".join(parts.feed(ids[i:i + 7]) for i in range(0, 3000, 7)) + parts.finish() == want
+        assert whole.bad == parts.bad and (whole.bad > 0) == (want.decode("utf-8", "replace").encode() != want)
+    for outside in (-1, len(tokens)):
+        with pytest.raises((IndexError, KeyError)):
+            whole.feed(np.array([outside], dtype=np.int32))
+
+
 def test_latin_pattern_cuts_alike():
     text = "It's ÀÉ½² 12  \x85\x1c x\n\n  y'll <<>> ª" + "".join(map(chr, range(1, 0x250)))
     assert bpe.cutter(PATTERN)(text) == __import__("regex").findall(PATTERN, text)
