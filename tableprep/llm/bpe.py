@@ -14,6 +14,7 @@ import gc
 import re
 import struct
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -27,6 +28,8 @@ from tableprep.llm.batches import lists, raw, slices, text
 MOST_STATES = 200_000
 MOST_PIECES = 300_000
 LONGEST_KEPT = 48
+RUN_SHIFT = 32
+STATE_MASK = (1 << RUN_SHIFT) - 1
 
 
 def read_ranks(path: str) -> bytes:
@@ -53,22 +56,14 @@ def merge_greedily(data: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[part] for part in parts]
 
 
-class _State(dict):
-    """The steps met so far, by byte. ``live``: for each position from which a token may still grow, the node that the
-    bytes since then lead to and the tokens that come before. The last of them is the position read so far."""
-
-    __slots__ = ("left", "live", "make", "pending")
-
-    def __init__(self, left: int | None, pending: bytes, live: tuple, make: Callable):
-        self.left, self.pending, self.live, self.make = left, pending, live, make
-
-    def __missing__(self, byte: int) -> tuple:
-        step = self[byte] = self.make(self, byte)
-        return step
-
-
 class Transducer:
-    """Bytes to token ranks, in one pass from left to right."""
+    """Bytes to token ranks, in one pass from left to right.
+
+    A state is a number, and what it stands for is packed, as there are very many and most are met once. ``keys``: the
+    token to its left (from 1; 0: none, or it does not matter) in four bytes, and the bytes read since. ``live``: for
+    each position from which a token may still grow, the node that the bytes since then lead to, how many tokens come
+    before, and these; the position read so far comes first, without its node. ``steps`` has the step met for a state
+    and byte: the next state in its low bits, above them the place among ``runs`` of the tokens to emit."""
 
     def __init__(self, ranks: dict[bytes, int], most_states: int = MOST_STATES):
         self.ranks = ranks
@@ -77,7 +72,12 @@ class Transducer:
         self.agrees: dict[int, bool] = {}
         self.made_of: dict[int, tuple[int, int] | None] = {}
         self.most_states = most_states
-        self.states: dict[tuple[int | None, bytes], _State] = {}
+        self.states: dict[bytes, int] = {}
+        self.keys: list[bytes] = []
+        self.live: list[bytes] = []
+        self.steps: dict[int, int] = {}
+        self.run_of: dict[tuple, int] = {}
+        self.runs: list[tuple] = []
         self._forget()
 
     def _plant(self) -> None:
@@ -97,10 +97,17 @@ class Transducer:
             self.ending[node] = rank
 
     def _forget(self) -> None:
-        for state in self.states.values():
-            state.clear()  # steps lead in circles; without them the states go at once
-        self.start = _State(None, b"", ((0, ()),), self._step)
-        self.states = {(None, b""): self.start}
+        for known in (self.states, self.keys, self.live, self.steps, self.run_of, self.runs):
+            known.clear()
+        self.run_of[()] = 0
+        self.runs.append(())
+        self._add(bytes(4), [0])
+
+    def _add(self, key: bytes, live: list[int]) -> int:
+        number = self.states[key] = len(self.keys)
+        self.keys.append(key)
+        self.live.append(array("i", live).tobytes())
+        return number
 
     def _halves(self, token: int) -> tuple[int, int] | None:
         """The last merge that makes ``token``; None for a single byte."""
@@ -141,17 +148,30 @@ class Transducer:
         self.agrees[pair] = apart
         return apart
 
-    def _step(self, state: _State, byte: int) -> tuple[_State, tuple]:
+    def _entries(self, state: int) -> list[tuple[int, list[int]]]:
+        flat = memoryview(self.live[state]).cast("i").tolist()
+        at = 1 + flat[0]
+        found, last = [], (0, flat[1:at])
+        while at < len(flat):
+            end = at + 2 + flat[at + 1]
+            found.append((flat[at], flat[at + 2:end]))
+            at = end
+        found.append(last)
+        return found
+
+    def _step(self, state: int, byte: int) -> int:
         child, ending, growing = self.child, self.ending, self.growing
+        key = self.keys[state]
+        own = int.from_bytes(key[:4], "little") - 1
         live, path = [], None
-        for place, before in state.live:
+        for place, before in self._entries(state):
             node = child.get(place << 8 | byte)
             if node is None:
                 continue
             if path is None and (token := ending[node]) is not None:
-                left = before[-1] if before else state.left
-                if left is None or self._neighbours(left, token):
-                    path = (*before, token)
+                left = before[-1] if before else own
+                if left < 0 or self._neighbours(left, token):
+                    path = [*before, token]
             if growing[node]:
                 live.append((node, before))
         common = len(path)
@@ -159,33 +179,45 @@ class Transducer:
             common = min(common, len(other))
             while path[:common] != other[:common]:
                 common -= 1
-        live.append((0, path))
-        emitted = path[:common]
-        pending = state.pending + bytes((byte,))
+        emitted = tuple(path[:common])
+        pending = key[4:] + bytes((byte,))
         if emitted:
             pending = pending[sum([len(self.tokens[token]) for token in emitted]):]
+            own = emitted[-1]
         # what stands to the left matters only where the next token may begin right behind it
-        left = emitted[-1] if emitted else state.left
-        key = (left if any([len(other) == common for _, other in live]) else None, pending)
-        following = self.states.get(key)
+        matters = len(path) == common or any([len(other) == common for _, other in live])
+        key = (own + 1 if matters else 0).to_bytes(4, "little") + pending
+        following, forgotten = self.states.get(key), False
         if following is None:
-            if len(self.states) >= self.most_states:
+            forgotten = len(self.states) >= self.most_states
+            if forgotten:
                 self._forget()
-            following = _State(*key, tuple([(node, other[common:]) for node, other in live]), self._step)
-            self.states[key] = following
-        return following, emitted
+            flat = [len(path) - common, *path[common:]]
+            for node, other in live:
+                flat += (node, len(other) - common, *other[common:])
+            following = self._add(key, flat)
+        run = self.run_of.setdefault(emitted, len(self.runs))
+        if run == len(self.runs):
+            self.runs.append(emitted)
+        step = run << RUN_SHIFT | following
+        if not forgotten:  # else there is no such state any more
+            self.steps[state << 8 | byte] = step
+        return step
 
     def encode(self, data: bytes) -> list[int]:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        state, out = self.start, []
+        state, out, known = 0, [], self.steps.get
         for byte in data:
-            state, emitted = state[byte]
-            if emitted:
-                out += emitted
-        out += state.live[-1][1]
-        return out
+            step = known(state << 8 | byte)
+            if step is None:
+                step = self._step(state, byte)
+            state = step & STATE_MASK
+            if step != state:
+                out += self.runs[step >> RUN_SHIFT]
+        tail = memoryview(self.live[state]).cast("i")
+        return out + tail[1:1 + tail[0]].tolist()
 
 
 class _Pieces(dict):
